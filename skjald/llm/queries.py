@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skjald.llm import bpe
-from skjald.llm.common import table
+from skjald.llm import bpe, huffman
+from skjald.llm.common import shared_path, table
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = shared_path(spark, "huffman")
+    huffman.write_files(table(spark, sf_dir, "documents"), files)
+    return huffman.read_files(spark, files, with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_huffman_ids": op5_huffman_ids,
     "op7_byte_bpe": op7_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
