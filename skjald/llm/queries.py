@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skjald.llm import bpe, huffman
+from skjald.llm import bpe, huffman, media, mixing
 from skjald.llm.common import shared_path, table
 
 
@@ -14,14 +14,25 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_documents(table(spark, sf_dir, "documents"))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = shared_path(spark, "huffman")
     huffman.write_files(table(spark, sf_dir, "documents"), files)
     return huffman.read_files(spark, files, with_ids=False)
 
 
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.read_media(media.wav_column(table(spark, sf_dir, "documents")), with_prints=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op5_huffman_ids": op5_huffman_ids,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_media": op10_media,
 }
 ORACLES: dict[str, str] = {}
