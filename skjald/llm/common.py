@@ -37,9 +37,9 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks `df` for broadcast if its counted rows are few, else leaves the join to shuffles."""
-    few = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = df.limit(rows + 1).count() <= rows
     return F.broadcast(df) if few else df
 
 
@@ -58,3 +58,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+
+
+def tiled(rows: DataFrame, group: str, member: str, size: int) -> DataFrame:
+    """Splits groups of `n` rows into tiles of about `size`, and sends each row to all tiles that it meets.
+
+    Grouped by (`group`, lo, hi), rows of tile lo meet those of tile hi; every pair of
+    a group's members meets in one of these, which holds about 2 * size rows at most."""
+    tiles = F.ceil(F.col("n") / size)
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64(F.lit(11), member), tiles))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
+    return rows.withColumn("lo", F.least("tile", "other")).withColumn("hi", F.greatest("tile", "other"))

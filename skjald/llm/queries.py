@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skjald.llm import bpe, huffman, media, mixing
+from skjald.llm import bpe, huffman, media, minhash, mixing
 from skjald.llm.common import shared_path, table
 
 
@@ -25,6 +25,10 @@ def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_files(spark, files, with_ids=False)
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_media(media.wav_column(table(spark, sf_dir, "documents")), with_prints=False)
 
@@ -33,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op5_huffman_ids": op5_huffman_ids,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_minhash": op8_minhash,
     "op10_media": op10_media,
 }
 ORACLES: dict[str, str] = {}
