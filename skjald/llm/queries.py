@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skjald.llm import bpe, huffman, media, minhash, mixing
+from skjald.llm import bpe, huffman, media, minhash, mixing, toxicity
 from skjald.llm.common import shared_path, table
 
 
@@ -19,6 +19,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = shared_path(spark, "huffman")
     huffman.write_files(table(spark, sf_dir, "documents"), files)
@@ -35,6 +39,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op4_toxicity": op4_toxicity,
     "op5_huffman_ids": op5_huffman_ids,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_minhash": op8_minhash,
