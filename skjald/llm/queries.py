@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skjald.llm import bpe, huffman, media, minhash, mixing, toxicity
+from skjald.llm import bpe, huffman, media, minhash, mixing, secrets, toxicity
 from skjald.llm.common import shared_path, table
 
 
@@ -19,6 +20,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    counts = [secrets.count_of("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secrets.shown("base"), 256).alias("base_sha256"), secrets.shown("spans").alias("spans"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,6 +46,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_secrets": op2_secrets,
     "op4_toxicity": op4_toxicity,
     "op5_huffman_ids": op5_huffman_ids,
     "op7_byte_bpe": op7_byte_bpe,
