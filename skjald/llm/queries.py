@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skjald.llm import bpe, huffman, media, minhash, mixing, secrets, toxicity
+from skjald.llm import bpe, embeddings, huffman, licenses, media, minhash, mixing, secrets, toxicity
 from skjald.llm.common import shared_path, table
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_documents(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,12 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    joined = [F.array_join("base", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_media(media.wav_column(table(spark, sf_dir, "documents")), with_prints=False)
 
@@ -49,8 +59,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op4_toxicity": op4_toxicity,
     "op5_huffman_ids": op5_huffman_ids,
+    "op6_embeddings": op6_embeddings,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_minhash": op8_minhash,
+    "op9_licenses": op9_licenses,
     "op10_media": op10_media,
 }
 ORACLES: dict[str, str] = {}
