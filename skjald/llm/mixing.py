@@ -36,7 +36,11 @@ BLOCK_ROWS, FAN_IN = 20_000, 64
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"))
+
+
+def word_count(text_col: str) -> Column:
+    return F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
 
 
 def targets(by_source: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -141,3 +145,8 @@ def repeated(docs: DataFrame, copies: Column) -> DataFrame:
     """Each row as often as its `copies` say, which may be none."""
     names = docs.columns
     return docs.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*names)
+
+
+def ranked(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Numbers the rows that agree in `key` from 1 in `__rank`, in no order."""
+    return rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
