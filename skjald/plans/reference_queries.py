@@ -1,2 +1,395 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Queries of the library's own operators over the test tables, and their SQL.
+
+The tables stand in for recordings: documents for programmes and transcripts, labels
+for statuses, events for frame probabilities, n_chars for lengths.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skjald.functions import draws, paths, text
+from skjald.operators import fingerprints, manifests, reruns, scores, segments
+from skjald.sources import readers
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+PHRASES = ["license", "password"]
+
+
+@query("SELECT doc_id, coalesce(regexp_matches(lower(text), 'license|password'), false) AS is_description_rerun FROM documents")
+def P06_description_rerun(spark, d):
+    return read(spark, d, "documents").select("doc_id", reruns.mentions(F.lower("text"), PHRASES).alias("is_description_rerun"))
+
+
+@query("SELECT p_partkey, regexp_matches(p_name, '(r)') AS by_regex, contains(p_name, '(r)') AS by_literal FROM part")
+def P06_title_rerun(spark, d):
+    name = F.col("p_name")
+    return read(spark, d, "part").select("p_partkey", reruns.mentions(name, ["(r)"]).alias("by_regex"), reruns.mentions(name, ["(r)"], literal=True).alias("by_literal"))
+
+
+@query("SELECT event_id, CAST(hour(ts) AS INT) AS hour, (hour(ts) > 22 AND hour(ts) < 6) AS is_tod_rerun, (hour(ts) > 22 OR hour(ts) < 6) AS is_night FROM events")
+def F30_F31_time_of_day(spark, d):
+    hour = paths.hour_of(F.col("ts"))
+    return read(spark, d, "events").select("event_id", hour.alias("hour"), paths.night(hour).alias("is_tod_rerun"), paths.night(hour, wraparound=True).alias("is_night"))
+
+
+def _catalogue(spark, d):
+    files = read(spark, d, "labels").select(F.concat(F.lit("f"), F.col("doc_id") % 997).alias("name"), F.concat(F.lit("/r/"), "doc_id").alias("path"), "doc_id")
+    return reruns.catalogue(files, "name", "path", "doc_id")
+
+
+@query("""WITH c AS (SELECT 'f' || (doc_id % 997) AS filename, max_by('/r/' || doc_id, doc_id) AS file_path FROM labels GROUP BY 1)
+SELECT doc_id, file_path FROM documents LEFT JOIN c ON 'f' || doc_id = c.filename""")
+def J01_file_path_lookup(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", F.concat(F.lit("f"), "doc_id").alias("filename"))
+    return reruns.with_paths(rows, _catalogue(spark, d)).select("doc_id", "file_path")
+
+
+@query("""WITH c AS (SELECT DISTINCT 'f' || (doc_id % 997) AS filename FROM labels)
+SELECT count(*) AS n, count_if(c.filename IS NULL) AS n_unmatched FROM documents LEFT JOIN c ON 'f' || doc_id = c.filename""")
+def A03_unmatched_count(spark, d):
+    return J01_file_path_lookup(spark, d).agg(F.count("*").alias("n"), F.count_if(F.col("file_path").isNull()).alias("n_unmatched"))
+
+
+def _status(spark, d):
+    ident = F.nullif(F.col("doc_id") % 500, F.lit(0)).cast("string")
+    return read(spark, d, "labels").select(ident.alias("id"), F.when(F.col("quality") == 0, "rerun").otherwise("other").alias("status"))
+
+
+STATUS = "SELECT CAST(nullif(doc_id % 500, 0) AS VARCHAR) AS id, CASE WHEN quality = 0 THEN 'rerun' ELSE 'other' END AS status FROM labels"
+
+
+@query(f"""WITH s AS ({STATUS}), m AS (SELECT doc_id, CAST(nullif(doc_id % 700, 0) AS VARCHAR) AS auth FROM documents)
+SELECT doc_id, auth, coalesce(status = 'rerun', false) AS is_doms_rerun FROM m LEFT JOIN s ON m.auth IS NOT DISTINCT FROM s.id""")
+def J02_rerun_status_join(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", F.nullif(F.col("doc_id") % 700, F.lit(0)).cast("string").alias("auth"))
+    return reruns.with_status(rows, _status(spark, d), "auth", "is_doms_rerun")
+
+
+@query(f"""WITH s AS ({STATUS}), m AS (SELECT doc_id, CAST(nullif(doc_id % 700, 0) AS VARCHAR) AS auth FROM documents)
+SELECT doc_id, coalesce(status = 'rerun', false) AS is_pvica_rerun FROM m LEFT JOIN s ON m.auth = s.id""")
+def J02_rerun_status_join_plain(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", F.nullif(F.col("doc_id") % 700, F.lit(0)).cast("string").alias("auth"))
+    return reruns.with_status(rows, _status(spark, d), "auth", "is_pvica_rerun", null_safe=False).select("doc_id", "is_pvica_rerun")
+
+
+def _flagged(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", F.concat(F.lit("/r/"), "doc_id", F.lit(".mp3")).alias("file_path"), reruns.mentions(F.lower("text"), PHRASES).alias("is_description_rerun"))
+    status = read(spark, d, "labels").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 0, "rerun").alias("status"))
+    return reruns.merge_flags(reruns.with_status(rows, status, "doc_id", "is_doms_rerun"))
+
+
+FLAGGED = "SELECT d.doc_id, '/r/' || d.doc_id || '.mp3' AS file_path, regexp_matches(lower(text), 'license|password') AS is_description_rerun, coalesce(quality = 0, false) AS is_doms_rerun FROM documents d LEFT JOIN labels l USING (doc_id)"
+
+
+@query(f"SELECT *, is_description_rerun OR is_doms_rerun AS is_rerun FROM ({FLAGGED})")
+def A13_merge_rerun_flags(spark, d):
+    return _flagged(spark, d)
+
+
+@query(f"SELECT file_path FROM ({FLAGGED}) WHERE NOT (is_description_rerun OR is_doms_rerun)")
+def K02_keep_list(spark, d):
+    return reruns.keep_list(_flagged(spark, d))
+
+
+@query(f"SELECT '/audio/' || doc_id || '.mp3' AS file_path FROM ({FLAGGED}) WHERE NOT (is_description_rerun OR is_doms_rerun)")
+def J03_keep_list_semi(spark, d):
+    files = read(spark, d, "documents").select(F.concat(F.lit("/audio/"), "doc_id", F.lit(".mp3")).alias("file_path"))
+    return reruns.listed(files, K02_keep_list(spark, d))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def J04_pending_anti(spark, d):
+    return reruns.pending(read(spark, d, "documents").select("doc_id"), read(spark, d, "labels"), "doc_id")
+
+
+@query("""SELECT count(*) AS n_all, count_if(l.doc_id IS NOT NULL) AS n_processed, count_if(l.doc_id IS NULL) AS n_pending
+FROM documents LEFT JOIN labels l USING (doc_id)""")
+def J05_processing_audit(spark, d):
+    wanted = read(spark, d, "documents").select(F.concat(F.lit("m/"), "doc_id", F.when(F.col("doc_id") % 2 == 0, ".mp3").otherwise(".wav")).alias("file_path"))
+    return reruns.audit(wanted, read(spark, d, "labels").select(F.col("doc_id").cast("string").alias("name")))
+
+
+BASIC = """lower(regexp_replace(translate(translate(translate(text, '.,?:;!»«''"', ''), 'íó', 'io'), '-—–', '   '), ' +', ' ', 'g'))"""
+
+
+@query(f"SELECT doc_id, {BASIC} AS cleaned FROM documents")
+def F06_clean_basic(spark, d):
+    return read(spark, d, "documents").select("doc_id", text.clean_basic(F.col("text")).alias("cleaned"))
+
+
+TALK = r"""lower(regexp_replace(regexp_replace(translate(regexp_replace(translate(translate(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
+ 'xx*', '', 'g'), '\([^)]*\)', '', 'g'), '[(\[].*?[)\]]', '', 'g'), 'host', '', 'g'), '.,?:;!»«''"→↗&><)“”', ''), 'íóàäö', 'ioaææ'), '%', ' procent', 'g'), '-—–/', '    '), '\r?\n', ' ', 'g'), ' +', ' ', 'g'))"""
+
+
+@query(f"SELECT conv_id, turn, {TALK} AS cleaned FROM conversations")
+def F07_clean_conversational(spark, d):
+    return read(spark, d, "conversations").select("conv_id", "turn", text.clean_talk(F.col("text"), numbers=False).alias("cleaned"))
+
+
+@query("SELECT doc_id, array_to_string(regexp_extract_all(text, '[0-9]+'), ',') AS digits, regexp_matches(text, '[0-9]+') AS has_number FROM documents")
+def F10_F13_digits_extract(spark, d):
+    return read(spark, d, "documents").select("doc_id", F.array_join(text.digit_runs(F.col("text")), ",").alias("digits"), text.has_number(F.col("text")).alias("has_number"))
+
+
+@query("SELECT DISTINCT unnest(regexp_extract_all(text, '[0-9]+')) AS digits FROM documents")
+def A16_unique_digits(spark, d):
+    return read(spark, d, "documents").select(F.explode(text.digit_runs(F.col("text"))).alias("digits")).distinct()
+
+
+@query()
+def F09_numbers_to_words(spark, d):
+    return read(spark, d, "documents").select("doc_id", text.spell_numbers(F.col("text")).alias("spelt"))
+
+
+@query(f"SELECT doc_id, NOT regexp_matches(c, '[^ a-zæøåéü]') AS in_vocabulary, regexp_extract(c, '[^ a-zæøåéü]', 0) AS first_oov FROM (SELECT doc_id, {BASIC} AS c FROM documents)")
+def F11_F12_vocabulary(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", text.clean_basic(F.col("text")).alias("c"))
+    return rows.select("doc_id", text.in_vocabulary(F.col("c")).alias("in_vocabulary"), text.first_outside(F.col("c")).alias("first_oov"))
+
+
+@query("SELECT item_id, array_to_string(string_split(replace(text, ' ', '|'), ''), ' ') AS ltr FROM benchmark")
+def F14_letter_encoding(spark, d):
+    return read(spark, d, "benchmark").select("item_id", text.letters(F.col("text")).alias("ltr"))
+
+
+@query()
+def A12_error_rates(spark, d):
+    turns = read(spark, d, "conversations")
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other"))
+    return scores.error_rates(turns.join(after, ["conv_id", "turn"]), F.col("text"), F.col("other"), ["role"])
+
+
+@query("SELECT lang, count(*) AS sentences, count(DISTINCT source) AS speakers, round_even(CAST(sum(n_chars) AS DOUBLE) / 3600, 2) AS hours FROM documents GROUP BY lang")
+def A04_A05_corpus_summary(spark, d):
+    return scores.corpus_summary(read(spark, d, "documents"), "lang", F.col("source"), F.col("n_chars"))
+
+
+@query("""SELECT lang AS name, count(*) AS n, CAST(NULL AS BIGINT) AS parts FROM documents GROUP BY lang
+UNION ALL SELECT p_type, NULL, count(*) FROM part GROUP BY p_type""")
+def U01_union_by_name(spark, d):
+    a = read(spark, d, "documents").groupBy(F.col("lang").alias("name")).agg(F.count("*").alias("n"))
+    b = read(spark, d, "part").groupBy(F.col("p_type").alias("name")).agg(F.count("*").alias("parts"))
+    return readers.stack(a, b)
+
+
+@query("SELECT o_orderpriority AS channel, CAST(floor(count(*) * 120 / 3600.0) AS BIGINT) AS hours FROM orders GROUP BY 1")
+def A04_duration_summary(spark, d):
+    return read(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("channel")).agg(scores.hours_of_units(F.count("*")).alias("hours"))
+
+
+@query("""SELECT count_if(q < 4) AS n_short, sum(CASE WHEN q < 4 THEN q END) AS s_short, count_if(q > 15) AS n_long, sum(CASE WHEN q > 15 THEN q END) AS s_long,
+count_if(NOT q > 15) AS n_between, sum(CASE WHEN NOT q > 15 THEN q END) AS s_between FROM (SELECT l_quantity AS q FROM lineitem)""")
+def A07_length_buckets(spark, d):
+    return segments.length_buckets(read(spark, d, "lineitem"), F.col("l_quantity"), 4, 15)
+
+
+@query("""WITH e AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents)
+SELECT CAST(least(19, floor((n_chars - lo) * 20 / CAST(hi - lo AS DOUBLE))) AS BIGINT) AS bin, count(*) AS n FROM documents, e GROUP BY 1""")
+def A08_length_histogram(spark, d):
+    return segments.histogram(read(spark, d, "documents"), "n_chars")
+
+
+@query("""SELECT l_orderkey, l_linenumber, CAST(rtrim(l_quantity || 'S', 'S') AS DOUBLE) AS duration, l_quantity - l_tax AS time_dif
+FROM lineitem WHERE l_quantity > 3 AND l_quantity < 60 AND l_returnflag = 'A' AND l_shipdate IS NOT NULL""")
+def P08_P17_P18_utterance_filter(spark, d):
+    rows = read(spark, d, "lineitem").withColumn("duration", text.seconds(F.concat(F.col("l_quantity").cast("string"), F.lit("S"))))
+    rows = rows.filter((F.col("duration") > 3) & (F.col("duration") < 60) & (F.col("l_returnflag") == "A")).dropna(subset=["l_shipdate"])
+    return rows.select("l_orderkey", "l_linenumber", "duration", (F.col("l_quantity") - F.col("l_tax")).alias("time_dif"))
+
+
+@query("""SELECT page_id, string_split(url, '/')[-1] AS base, string_split(url, '/')[-2] AS folder, len(string_split(url, '/')) AS depth, regexp_replace(url, '\\.[^./]*$', '') || '.tsv' AS renamed,
+right(url, 36) AS tail, array_to_string(string_split(url, '/')[4:-2], '/') AS inner FROM pages""")
+def F15_F18_path_fields(spark, d):
+    url = F.col("url")
+    parts = F.split(url, "/")
+    inner = F.array_join(F.slice(parts, 4, F.size(parts) - 4), "/")
+    return read(spark, d, "pages").select("page_id", paths.basename(url).alias("base"), paths.parent(url).alias("folder"), paths.depth(url).alias("depth"), paths.with_suffix(url, ".tsv").alias("renamed"), paths.id_tail(url).alias("tail"), inner.alias("inner"))
+
+
+LINES = "SELECT page_id, CASE page_id % 5 WHEN 0 THEN '//' WHEN 1 THEN '/' WHEN 2 THEN 'a///' WHEN 3 THEN 'manifest/' ELSE '' END || regexp_replace(url, '^https?://', '') || chr(9) || page_id AS value FROM pages"
+
+
+@query(f"""SELECT page_id, value, len(string_split(value, '/')) = 4 AND len(string_split(value, chr(9))) = 2 AS valid FROM (
+SELECT page_id, CASE WHEN v LIKE '/%' THEN substr(v, 2) ELSE v END AS value FROM (
+SELECT page_id, CASE WHEN value LIKE '//%' THEN substr(value, 3) ELSE value END AS v FROM ({LINES}) WHERE NOT contains(value, '///') AND NOT contains(value, 'manifest')))""")
+def F19_P11_P12_manifest_lines(spark, d):
+    k = F.col("page_id") % 5
+    head = F.when(k == 0, "//").when(k == 1, "/").when(k == 2, "a///").when(k == 3, "manifest/").otherwise("")
+    rows = read(spark, d, "pages").select("page_id", F.concat(head, F.regexp_replace("url", "^https?://", ""), F.lit("\t"), F.col("page_id").cast("string")).alias("value"))
+    return manifests.normal_lines(rows).withColumn("valid", manifests.valid(F.col("value")))
+
+
+@query("""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('s1-' || doc_id), doc_id) <= 200 THEN 'valid' ELSE 'train' END AS split FROM documents""")
+def O04_O05_train_valid_split(spark, d):
+    return manifests.split(read(spark, d, "documents").select("doc_id"), "doc_id", "s1", 200)
+
+
+@query("SELECT doc_id FROM documents ORDER BY md5('s2-' || doc_id), doc_id LIMIT 100")
+def O06_sample(spark, d):
+    return manifests.sample(read(spark, d, "documents").select("doc_id"), "doc_id", "s2", 100)
+
+
+TILES = """WITH RECURSIVE f AS (SELECT doc_id, n_chars * 200 AS n FROM documents), t AS (
+SELECT doc_id, n, unnest(range(0, n // 48000)) AS seg_id FROM f), l AS (
+SELECT doc_id, n, seg_id, 48000 + CAST('0x' || substr(md5('t1-' || doc_id || '-' || seg_id), 1, 8) AS BIGINT) % 192001 AS len FROM t), c AS (
+SELECT doc_id, n, seg_id, len, sum(len) OVER (PARTITION BY doc_id ORDER BY seg_id) AS stop FROM l)
+SELECT doc_id, seg_id, CAST(stop - len AS BIGINT) AS start_sample, CAST(stop AS BIGINT) AS end_sample FROM c WHERE stop <= n"""
+
+
+@query(TILES)
+def W08_random_tiles(spark, d):
+    files = read(spark, d, "documents").select("doc_id", (F.col("n_chars") * 200).alias("n"))
+    return segments.tiles(files, "doc_id", "n", "t1", crop=0)
+
+
+@query("""SELECT doc_id, CAST(i AS INT) AS i, i * 200 AS start_sample, least(i * 200 + 4000, n) AS end_sample, greatest(i * 200 + 4000 - n, 0) AS pad
+FROM (SELECT doc_id, n_chars AS n, unnest(range(0, (n_chars + 199) // 200)) AS i FROM documents)""")
+def W01_framing(spark, d):
+    return segments.frames(read(spark, d, "documents"), "doc_id", "n_chars")
+
+
+def _probs(spark, d):
+    # A file's frames are a user's events in order.
+    rows = read(spark, d, "events").select(F.col("user_id").alias("file_id"), "ts", "event_id", (F.least(F.col("value"), F.lit(50.0)) / 50).alias("p"))
+    return manifests.numbered(rows.withColumn("o", F.struct("ts", "event_id")), "file_id", "o").select("file_id", F.col("seg_id").alias("i"), "p")
+
+
+PROBS = "SELECT user_id AS file_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, least(value, 50.0) / 50 AS p FROM events"
+SMOOTH = f"SELECT *, max(p) OVER (PARTITION BY file_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS sp FROM ({PROBS})"
+
+
+@query(f"SELECT file_id, CAST(i AS INT) AS i, sp FROM ({SMOOTH})")
+def W02_vad_smooth(spark, d):
+    return segments.smoothed(_probs(spark, d), back=3).select("file_id", "i", "sp")
+
+
+SEGMENTS = f"""s AS ({SMOOTH}), t AS (SELECT file_id, 0.89 * quantile_disc(p, 0.5) + 0.08 AS thr, max(i) AS last FROM s GROUP BY file_id),
+h AS (SELECT s.file_id, i, last, i - lag(i) OVER (PARTITION BY s.file_id ORDER BY i) AS gap FROM s JOIN t USING (file_id) WHERE sp >= thr),
+g AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > 3 THEN 1 ELSE 0 END) OVER (PARTITION BY file_id ORDER BY i) AS island FROM h),
+k AS (SELECT file_id, island, last, min(i) AS a, max(i) AS b FROM g GROUP BY 1, 2, 3),
+e AS (SELECT file_id, 200 * greatest(0, a - 3) AS s0, CASE WHEN last - b < 3 THEN (last + 1) * 200 ELSE 200 * (b + 1) END AS e0, (last + 1) * 200 AS n, last - b < 3 AS is_open FROM k),
+v AS (SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY s0) - 1 AS seg_id, s0, e0, n FROM e WHERE is_open OR e0 - s0 > 800)"""
+
+
+@query(f"WITH {SEGMENTS} SELECT file_id, CAST(seg_id AS INT) AS seg_id, s0 AS start, e0 AS \"end\" FROM v")
+def W03_W04_vad_segments(spark, d):
+    return segments.voice_segments(_probs(spark, d), back=3, bridge=2, shortest=800).drop("n")
+
+
+@query(f"""WITH {SEGMENTS}, w AS (SELECT *, s0 - lag(e0) OVER (PARTITION BY file_id ORDER BY seg_id) AS pv, lead(s0) OVER (PARTITION BY file_id ORDER BY seg_id) - e0 AS nx FROM v)
+SELECT file_id, CAST(seg_id AS INT) AS seg_id, CAST(greatest(0, CASE WHEN pv IS NULL THEN s0 - 100 WHEN pv < 200 THEN s0 - floor(pv / 2.0) ELSE s0 END) AS BIGINT) AS start,
+CAST(CASE WHEN nx IS NULL THEN least(n, e0 + 100) WHEN nx < 200 THEN e0 + floor(nx / 2.0) ELSE e0 + 100 END AS BIGINT) AS "end" FROM w""")
+def W04_W05_vad_segments(spark, d):
+    return segments.padded(segments.voice_segments(_probs(spark, d), back=3, bridge=2, shortest=800), pad=100)
+
+
+@query()
+def W06_W07_custom_segments(spark, d):
+    return segments.custom_segments(_probs(spark, d), trigger=8, silence=2, longest=24, shortest=10, reach=4)
+
+
+@query("SELECT doc_id, least(180, n_chars) AS start_sample, least(240, n_chars) AS end_sample FROM documents")
+def W10_snippet_intervals(spark, d):
+    files = read(spark, d, "documents").select("doc_id", F.col("n_chars").alias("n"))
+    return segments.snippet(files, "doc_id", "n", 180, 240, rate=1)
+
+
+TOKENS = "string_split(text, ' ')"
+
+
+def _index(spark, d):
+    return fingerprints.index(read(spark, d, "benchmark"), "item_id", F.split("text", " "))
+
+
+INDEXED = f"SELECT item_id AS song_id, i - 1 AS \"offset\", array_to_string({TOKENS}[i:i + 2], ' ') AS hash FROM (SELECT *, unnest(range(1, len({TOKENS}) - 1)) AS i FROM benchmark)"
+ASKED = f"SELECT doc_id AS query_id, array_to_string({TOKENS}[i:i + 2], ' ') AS hash, min(i - 1) AS first_at FROM (SELECT *, unnest(range(1, len({TOKENS}) - 1)) AS i FROM documents) GROUP BY 1, 2"
+MATCHED = f"""WITH x AS ({INDEXED}), q AS ({ASKED}), t AS (SELECT query_id, count(*) AS total FROM q GROUP BY 1),
+v AS (SELECT query_id, song_id, "offset" - first_at AS shift, count(DISTINCT hash) AS n FROM q JOIN x USING (hash) GROUP BY 1, 2, 3),
+b AS (SELECT query_id, song_id, max(n) AS aligned FROM v GROUP BY 1, 2)
+SELECT query_id, song_id, aligned, aligned / total AS confidence, CAST(row_number() OVER (PARTITION BY query_id ORDER BY aligned DESC, song_id) AS INT) AS rank FROM b JOIN t USING (query_id)"""
+
+
+@query(f"SELECT song_id, CAST(\"offset\" AS INT) AS \"offset\", md5(hash) AS hash FROM ({INDEXED})")
+def D04_fingerprint_index(spark, d):
+    rows = read(spark, d, "benchmark").select("item_id", F.split("text", " ").alias("t"))
+    runs = F.transform(F.sequence(F.lit(1), F.size("t") - 2), lambda i: F.md5(F.array_join(F.slice("t", i, 3), " ")))
+    return rows.filter(F.size("t") >= 3).select(F.col("item_id").alias("song_id"), F.posexplode(runs).alias("offset", "hash"))
+
+
+def _matches(spark, d):
+    asked = fingerprints.index(read(spark, d, "documents"), "doc_id", F.split("text", " "))
+    return fingerprints.match(asked, _index(spark, d))
+
+
+@query(MATCHED)
+def J06_A09_fingerprint_match(spark, d):
+    return _matches(spark, d)
+
+
+@query(f"SELECT query_id, max(confidence) AS best, max(confidence) >= 0.3 AS is_duplicate FROM ({MATCHED}) WHERE query_id <> song_id GROUP BY 1")
+def D06_mark_duplicates(spark, d):
+    return fingerprints.duplicates(_matches(spark, d), 0.3)
+
+
+@query("""SELECT item_id, part, min(doc_id) AS first_match, count(*) AS n_matches FROM (SELECT item_id, text AS part FROM benchmark) JOIN documents ON contains(text, part) GROUP BY 1, 2""")
+def J07_match_lookup(spark, d):
+    parts = read(spark, d, "benchmark").select("item_id", F.col("text").alias("part"))
+    return reruns.first_match(parts, read(spark, d, "documents").select("doc_id", F.col("text").alias("body")), "body", "part", "doc_id")
+
+
+@query("SELECT DISTINCT n_name AS dataset, p_brand AS model FROM nation, part")
+def J10_model_dataset_grid(spark, d):
+    return scores.grid(read(spark, d, "nation").select(F.col("n_name").alias("dataset")), read(spark, d, "part").select(F.col("p_brand").alias("model")).distinct())
+
+
+@query("SELECT doc_id, 'quality' AS metric, quality AS value FROM labels UNION ALL SELECT doc_id, 'toxic', toxic FROM labels")
+def P19_metrics_flatten(spark, d):
+    return scores.flattened(read(spark, d, "labels").select("doc_id", F.create_map(F.lit("quality"), "quality", F.lit("toxic"), "toxic").alias("m")), "doc_id", "m")
+
+
+@query("SELECT path, count(*) AS n FROM (SELECT string_split(url, '/')[3] AS path FROM pages) GROUP BY 1 HAVING count(*) > 1")
+def P20_output_collision(spark, d):
+    return manifests.collisions(read(spark, d, "pages").select(F.element_at(F.split("url", "/"), 3).alias("path")), "path")
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")
+def S01_S02_jsonl_unnest(spark, d):
+    return read(spark, d, "events").select("event_id", F.from_json("props", "k int").alias("metadata")).select("metadata.*", "event_id")
+
+
+@query("SELECT CAST(ts AS DATE) AS day, round(avg(value) FILTER (event_type = 'click'), 6) AS click, round(avg(value) FILTER (event_type = 'view'), 6) AS view, count(*) AS n FROM events GROUP BY 1")
+def S17_loss_history(spark, d):
+    value = lambda kind: F.round(F.avg(F.when(F.col("event_type") == kind, F.col("value"))), 6).alias(kind)
+    return read(spark, d, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(value("click"), value("view"), F.count("*").alias("n"))
+
+
+@query("""SELECT 'x-' || item_id || '.wav' || chr(9) || length(text) AS tsv, text AS wrd, array_to_string(string_split(replace(text, ' ', '|'), ''), ' ') AS ltr FROM benchmark""")
+def K05_asr_triples(spark, d):
+    rows = read(spark, d, "benchmark").select(F.concat(F.lit("x-"), "item_id", F.lit(".wav")).alias("path"), F.length("text").alias("n"), "text")
+    return manifests.triples(rows, "path", "n", "text")
+
+
+@query("SELECT doc_id, 48000 + CAST('0x' || substr(md5('u1-' || doc_id), 1, 8) AS BIGINT) % 192001 AS length, CAST(ceil(n_chars * 16000 / 44100.0) AS BIGINT) AS resampled FROM documents")
+def F33_F34_draws(spark, d):
+    return read(spark, d, "documents").select("doc_id", draws.whole_number("u1", 48_000, 240_000, F.col("doc_id")).alias("length"), segments.resampled(F.col("n_chars"), F.lit(44_100)).alias("resampled"))
