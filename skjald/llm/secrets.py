@@ -80,8 +80,8 @@ def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     worth = parts.filter(F.exists("parts", lambda p: p["rank"] >= len(BASE)) & (F.size("parts") > 1))
     rows = worth.select("doc_id", "digest", F.explode("parts").alias("p")).select("doc_id", "digest", "p.*").distinct().withColumn("role", _role(F.col("rank")))
     weak = rows.filter(F.col("rank") >= len(BASE)).withColumn("cell", F.explode(F.sequence(F.floor((F.col("start") - scope) / scope), F.floor((F.col("stop") + scope) / scope))))
-    # A part's partner begins in one of the cells that the part reaches, and so do their first characters.
-    other = rows.select("doc_id", "digest", F.col("start").alias("start2"), F.col("stop").alias("stop2"), F.col("rank").alias("rank2"), F.col("role").alias("role2"), F.floor(F.col("start") / scope).alias("cell"))
+    # A near partner covers one of the cells that the part reaches.
+    other = rows.select("doc_id", "digest", F.col("start").alias("start2"), F.col("stop").alias("stop2"), F.col("rank").alias("rank2"), F.col("role").alias("role2"), F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor((F.col("stop") - 1) / scope))).alias("cell"))
     same = F.col("w.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("w.digest") == F.col("o.digest")) & (F.col("w.cell") == F.col("o.cell"))
     near = (F.col("start2") - F.col("stop") <= scope) & (F.col("start") - F.col("stop2") <= scope) & ((F.col("start2") >= F.col("stop")) | (F.col("stop2") <= F.col("start")))
     pair = ((F.col("role") == "identifier") & (F.col("role2") == "secret")) | ((F.col("role") == "secret") & (F.col("role2") == "identifier")) | ((F.col("role") == "endpoint") & ((F.col("role2") == "identifier") | (F.col("rank2") == 0)))
@@ -127,11 +127,12 @@ def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = scan(docs, SCOPE, id_col, text_col).filter(F.size("spans") > 0).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans")).distinct()
     key = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__digest"))
     rows = docs.join(F.broadcast(found) if found.limit(BROADCAST_FOUND + 1).count() <= BROADCAST_FOUND else found, key, "left")
-    text = F.when(F.col("__spans").isNotNull(), redacted(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col))
-    changed = {text_col: text}
+    hit = F.col("__spans").isNotNull()
+    rows = rows.withColumn("__redacted", F.when(hit, redacted(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col)))
+    changed = {text_col: F.col("__redacted")}
     if length_col in docs.columns:
-        changed[length_col] = F.when(F.col("__spans").isNotNull(), F.length(text).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
-    return rows.withColumns(changed).select(*docs.columns)
+        changed[length_col] = F.when(hit, F.length("__redacted").cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return rows.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 
 #: Documents with secrets up to which their spans are broadcast.
