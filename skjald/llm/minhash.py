@@ -13,9 +13,10 @@ Stages, of which none sends a document's set or signature to the driver:
    bucket first compares its members with its smallest only, so that a group of n
    copies makes n pairs and not n * n.
 3. verification on full sets, which are read from the texts of candidates alone.
-4. rounds: buckets whose members still are in several components are searched for
-   pairs across components that weren't verified before, in tiles, with ever more pairs
-   for each member, until there are none.
+4. families: in buckets whose members still are in several components, tiles of
+   bounded size look for components that are alike by signature; such components form a
+   family. All members of a family then meet in tiles on their full sets, and a tile
+   returns a spanning forest of the links that it finds.
 5. components by alternating large-star and small-star contraction of the links.
 
 Two signatures of SLOTS = 128 slots that stand for a similarity of 0.75 agree in fewer
@@ -48,10 +49,10 @@ SIMILAR = 75  # per cent
 LEAST = 0.56
 #: Members of a bucket that are compared with as many others at once.
 TILE = 1024
+#: The same for full sets.
+TILE_SETS = 512
 #: Word hashes that a worker remembers.
-MEMO_WORDS = 1_000_000
-#: Partners that the first search takes for a member and another component.
-EACH = 4
+MEMO_WORDS = 100_000
 #: Rows of two integers up to which a table is broadcast: some 10 MB.
 BROADCAST_IDS = 300_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -206,30 +207,85 @@ def alike_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def search(members: DataFrame, classes: DataFrame, labels: DataFrame, each: int) -> DataFrame:
-    """Pairs (a, b) across components in buckets that hold several: `each` at most for a member and another component in a tile; `more` says that there were others."""
+class Forest:
+    """Union-find over the members of a tile, in which members of one component are together from the start."""
+
+    def __init__(self, labels: np.ndarray):
+        names, place = np.unique(labels, return_inverse=True)
+        self.root, self.place = list(range(len(names))), place.tolist()
+        self.edges: list[tuple[int, int]] = []
+
+    def find(self, k: int) -> int:
+        root = self.root
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    def join(self, i: int, j: int) -> None:
+        p, q = self.find(self.place[i]), self.find(self.place[j])
+        if p != q:
+            self.root[max(p, q)] = min(p, q)
+            self.edges.append((i, j))
+
+    def table(self, names: np.ndarray) -> pa.Table:
+        ends = np.array(self.edges, np.int64).reshape(-1, 2)
+        return pa.table({"u": pa.array(names[ends[:, 0]], pa.int64()), "v": pa.array(names[ends[:, 1]], pa.int64())})
+
+
+def _tile(tile: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Kinds and components of a tile's rows, and which of them are to meet which."""
+    kind, label, at = tile["kind"].to_numpy(), tile["component"].to_numpy(), tile["tile"].to_numpy()
+    return kind, label, np.flatnonzero(at == tile["lo"][0].as_py()), np.flatnonzero(at == tile["hi"][0].as_py())
+
+
+def candidates(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges (u, v) between components that are alike by signature: in each tile of a bucket, a forest of them."""
     labelled = members.select("bucket", "kind").join(labels.withColumnRenamed("node", "kind"), "kind", "left").withColumn("component", F.coalesce("component", "kind"))
     several = labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("n > 2 and x < y").select("bucket", "n")
     rows = labelled.join(several, "bucket").join(classes.select("kind", "sig"), "kind")
 
     def run(tile: pa.Table) -> pa.Table:
-        kind, label, at, sig = tile["kind"].to_numpy(), tile["component"].to_numpy(), tile["tile"].to_numpy(), _slots(tile["sig"].combine_chunks())
-        lo, hi = tile["lo"][0].as_py(), tile["hi"][0].as_py()
-        left, right = np.flatnonzero(at == lo), np.flatnonzero(at == hi)
-        out = []
+        _, label, left, right = _tile(tile)
+        sig, forest = _slots(tile["sig"].combine_chunks()), Forest(label)
+        for i in left.tolist():
+            others = right[label[right] != label[i]]
+            for j in others[(sig[others] == sig[i]).mean(1) >= LEAST].tolist():
+                forest.join(i, j)
+        return forest.table(label)
+
+    return tiled(rows, "bucket", "kind", TILE).groupBy("bucket", "lo", "hi").applyInArrow(run, "u long, v long").distinct()
+
+
+def links_across(sets: DataFrame) -> DataFrame:
+    """Links (u, v) between components within families, by full sets: in each tile, a forest of them.
+
+    `sets` has family, kind, component and marks. A tile numbers its marks once, and each
+    member then meets all others by one sum over their marks."""
+    n = sets.groupBy("family").agg(F.count("*").alias("n"))
+
+    def run(tile: pa.Table) -> pa.Table:
+        kind, label, left, right = _tile(tile)
+        marks = tile["marks"].combine_chunks()
+        _, number = np.unique(marks.flatten().to_numpy(), return_inverse=True)
+        sizes = marks.value_lengths().to_numpy().astype(np.int64)
+        starts, forest = np.cumsum(sizes) - sizes, Forest(label)
+        flag = np.zeros(number.max() + 1, np.int32)
+        each = [number[a : a + b] for a, b in zip(starts.tolist(), sizes.tolist(), strict=True)]
+        joined = np.concatenate([each[j] for j in right])
+        cuts = np.cumsum(sizes[right]) - sizes[right]
         for i in left.tolist():
-            j = right[(label[right] != label[i]) & ((kind[right] > kind[i]) if lo == hi else True)]
-            score = (sig[j] == sig[i]).mean(1)
-            j, score = j[score >= LEAST], score[score >= LEAST]
-            order = np.lexsort((kind[j], -score, label[j]))
-            j = j[order]
-            first = np.flatnonzero(np.append(True, label[j][1:] != label[j][:-1])) if len(j) else j
-            rank = np.arange(len(j)) - np.repeat(first, np.diff(np.append(first, len(j))))
-            out += [(min(kind[i], kind[x]), max(kind[i], kind[x]), bool((rank >= each).any())) for x in j[rank < each]]
-        a, b, more = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "more": pa.array(more, pa.bool_())})
+            if (label[right] == label[i]).all():
+                continue
+            flag[each[i]] = 1
+            both = np.add.reduceat(flag[joined], cuts)
+            flag[each[i]] = 0
+            linked = (100 * both >= SIMILAR * (sizes[i] + sizes[right] - both)) & (label[right] != label[i])
+            for j in right[linked].tolist():
+                forest.join(i, j)
+        return forest.table(kind)
 
-    return tiled(rows, "bucket", "kind", TILE).groupBy("bucket", "lo", "hi").applyInArrow(run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    return tiled(sets.join(n, "family"), "family", "kind", TILE_SETS).groupBy("family", "lo", "hi").applyInArrow(run, "u long, v long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,23 +319,21 @@ def link_classes(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", te
     shared = found.groupBy("bucket").agg(F.min("kind").alias("a"), F.count("*").alias("n")).filter("n > 1")
     members = cut(found.join(shared, "bucket").select("bucket", "kind", "a", "n"))
     pairs = cut(alike_pairs(members.filter("kind != a").select("a", F.col("kind").alias("b")).distinct(), classes))
-    tested, links = pairs, None
-    each = EACH
-    while True:
-        ends = pairs.select(F.col("a").alias("kind")).union(pairs.select(F.col("b").alias("kind"))).distinct()
-        sets = cut(full_sets(docs, classes.select("kind", "doc_id").join(ends, "kind"), id_col, text_col))
-        new = cut(verified(pairs, sets)).filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        links = new if links is None else links.union(new)
-        labels = components(links)
-        while True:
-            open_pairs = cut(search(members.filter("n > 2"), classes, labels, each))
-            pairs = cut(open_pairs.select("a", "b").join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-            if not pairs.isEmpty():
-                break
-            if each >= TILE or open_pairs.filter("more").isEmpty():
-                return labels
-            each *= 16
-        tested = tested.union(pairs)
+    ends = pairs.select(F.col("a").alias("kind")).union(pairs.select(F.col("b").alias("kind"))).distinct()
+    names = classes.select("kind", "doc_id")
+    sets = cut(full_sets(docs, names.join(ends, "kind"), id_col, text_col))
+    links = cut(verified(pairs, sets).filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    labels = components(links)
+    # What the stars have left apart: components that are alike by signature are a family, all of whose members meet.
+    near = cut(candidates(members.filter("n > 2"), classes, labels))
+    if near.isEmpty():
+        return labels
+    families = components(near).withColumnRenamed("component", "family").withColumnRenamed("node", "component")
+    labelled = names.join(labels.withColumnRenamed("node", "kind"), "kind", "left").withColumn("component", F.coalesce("component", "kind"))
+    relatives = cut(labelled.join(families, "component"))
+    sets = full_sets(docs, relatives.select("kind", "doc_id"), id_col, text_col)
+    more = links_across(cut(relatives.select("kind", "component", "family").join(sets, "kind")))
+    return components(links.union(cut(more)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -47,6 +47,7 @@ def test_components(spark):
         links += [(i, i + 1) for i in range(1000, 1030)]
         rows = spark.createDataFrame(links, "u long, v long")
         found = {r.node: r.component for r in graph.components(rows).collect()}
+        assert found == {r.node: r.component for r in graph.components(rows.repartition(6), each=9).collect()}
         wanted = components_of({x for link in links for x in link}, links)
         assert found == {k: v for k, v in wanted.items() if k in found}
         assert all(v == k for k, v in wanted.items() if k not in found)
