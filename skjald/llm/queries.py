@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skjald.llm import bpe, embeddings, huffman, licenses, media, minhash, mixing, secrets, toxicity
+from skjald.llm import bpe, embeddings, huffman, licenses, media, minhash, mixing, passages, secrets, toxicity
 from skjald.llm.common import shared_path, table
 
 
@@ -30,6 +30,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secrets.shown("base"), 256).alias("base_sha256"), secrets.shown("spans").alias("spans"))
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
+    "op3_passages": op3_passages,
     "op4_toxicity": op4_toxicity,
     "op5_huffman_ids": op5_huffman_ids,
     "op6_embeddings": op6_embeddings,
