@@ -31,7 +31,7 @@ from skjald.llm.graph import components
 
 COSINE = 0.95
 TABLES, HASHES, PROBES = 8, 3, 4
-TILE = 512
+TILE, BIN = 512, 4096
 SEED = 20
 
 
@@ -125,31 +125,13 @@ def hashed(found: DataFrame) -> DataFrame:
 
 
 def tile_links(tile: pa.Table) -> pa.Table:
-    """Links of a tile's vectors that meet in no earlier table: sums by vector, and a forest of edges."""
-    order = pa.compute.sort_indices(tile, [("kind", "ascending")])
-    tile = tile.take(order)
-    kind, at, copies = tile["kind"].to_numpy(), tile["tile"].to_numpy(), tile["copies"].to_numpy()
+    """Links that meet in no earlier table, of one tile of a bucket or of several small buckets: sums by vector, and a forest of edges."""
+    tile = tile.take(pa.compute.sort_indices(tile, [("bucket", "ascending"), ("kind", "ascending")]))
+    kind, at, copies, bucket = (tile[c].to_numpy() for c in ("kind", "tile", "copies", "bucket"))
     x = unit(tile["x"].to_pylist())
     keys = buckets(x)
-    bucket, lo, hi = tile["bucket"][0].as_py(), tile["lo"][0].as_py(), tile["hi"][0].as_py()
-    mine = int(np.argmax((keys[0] == bucket).any(1)))
-    left, right = np.flatnonzero(at == lo), np.flatnonzero(at == hi)
-    linked = x[left] @ x[right].T >= COSINE
-    if lo == hi:
-        linked = np.triu(linked, 1)
-    i, j = np.nonzero(linked)
-    i, j = left[i], right[j]
-    fresh = np.ones(len(i), bool)
-    for table in range(mine):
-        fresh &= ~(keys[i, table][:, :, None] == keys[j, table][:, None, :]).any((1, 2))
-    # In its own table a pair may share several probes: the smallest shared bucket counts.
-    same = keys[i, mine][:, :, None] == keys[j, mine][:, None, :]
-    shared = np.where(same, keys[i, mine][:, :, None], np.iinfo(np.int64).max).min((1, 2)) if len(i) else np.zeros(0, np.int64)
-    fresh &= shared == bucket
-    i, j = i[fresh], j[fresh]
-    n_links = np.bincount(i, copies[j], len(kind)) + np.bincount(j, copies[i], len(kind))
-    some = np.flatnonzero(n_links)
-    root = list(range(len(kind)))
+    lo, hi = tile["lo"][0].as_py(), tile["hi"][0].as_py()
+    n_links, root, edges = np.zeros(len(kind)), list(range(len(kind))), []
 
     def find(k: int) -> int:
         while root[k] != k:
@@ -157,19 +139,39 @@ def tile_links(tile: pa.Table) -> pa.Table:
             k = root[k]
         return k
 
-    edges = []
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        p, q = find(a), find(b)
-        if p != q:
-            root[max(p, q)] = min(p, q)
-            edges.append((a, b))
-    a, b = np.array(edges, np.int64).reshape(-1, 2).T
+    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+    for first, last in zip(cuts, cuts[1:], strict=False):
+        left, right = first + np.flatnonzero(at[first:last] == lo), first + np.flatnonzero(at[first:last] == hi)
+        linked = x[left] @ x[right].T >= COSINE
+        if lo == hi:
+            linked = np.triu(linked, 1)
+        i, j = np.nonzero(linked)
+        if not len(i):
+            continue
+        i, j = left[i], right[j]
+        mine = int(np.argmax((keys[first] == bucket[first]).any(1)))
+        fresh = np.ones(len(i), bool)
+        for table in range(mine):
+            fresh &= ~(keys[i, table][:, :, None] == keys[j, table][:, None, :]).any((1, 2))
+        # In its own table a pair may share several probes: the smallest shared bucket counts.
+        same = keys[i, mine][:, :, None] == keys[j, mine][:, None, :]
+        fresh &= np.where(same, keys[i, mine][:, :, None], np.iinfo(np.int64).max).min((1, 2)) == bucket[first]
+        i, j = i[fresh], j[fresh]
+        np.add.at(n_links, i, copies[j])
+        np.add.at(n_links, j, copies[i])
+        for u, v in zip(i.tolist(), j.tolist(), strict=True):
+            p, q = find(u), find(v)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                edges.append((u, v))
+    some = np.flatnonzero(n_links)
+    u, v = np.array(edges, np.int64).reshape(-1, 2).T
     nothing = pa.nulls(len(some), pa.int64())
     return pa.table(
         {
-            "kind": pa.array(np.concatenate([kind[some], kind[a]])),
-            "n_links": pa.array(np.concatenate([n_links[some], np.zeros(len(a))]).astype(np.int64)),
-            "other": pa.concat_arrays([nothing, pa.array(kind[b], pa.int64())]),
+            "kind": pa.array(np.concatenate([kind[some], kind[u]])),
+            "n_links": pa.array(np.concatenate([n_links[some], np.zeros(len(u))]).astype(np.int64)),
+            "other": pa.concat_arrays([nothing, pa.array(kind[v], pa.int64())]),
         }
     )
 
@@ -178,9 +180,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """A row for each vector: vec_id, n_links, component_id and kept."""
     found = cut(classes(vectors, id_col, vector_col))
     members = cut(hashed(found).distinct())
-    shared = members.groupBy("bucket", "d").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = cut(members.groupBy("bucket", "d").agg(F.count("*").alias("n")).filter("n > 1"))
     rows = members.join(shared, ["bucket", "d"]).join(found.select("kind", "x", "copies"), "kind")
-    tiles = tiled(rows, "bucket", "kind", TILE).groupBy("bucket", "d", "lo", "hi")
+    # Buckets of one tile share tasks, some BIN rows in each group.
+    bins = max(1, -(-(shared.filter(F.col("n") <= TILE).agg(F.sum("n")).first()[0] or 0) // BIN))
+    tiles = tiled(rows, "bucket", "kind", TILE).withColumn("bin", F.when(F.col("n") <= TILE, -1 - F.pmod(F.xxhash64("bucket"), F.lit(bins))).otherwise(F.col("bucket"))).groupBy("bin", "d", "lo", "hi")
     links = cut(tiles.applyInArrow(tile_links, "kind long, n_links long, other long"))
     labels = components(links.filter("other is not null").select(F.col("kind").alias("u"), F.col("other").alias("v")))
     sums = links.groupBy("kind").agg(F.sum("n_links").alias("near"))
