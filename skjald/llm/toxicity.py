@@ -10,9 +10,10 @@ of its strongest distinct words. A logistic function fitted out of fold turns th
 into a score.
 
 Counts are of documents that hold a word, of all labelled rows that may be learned
-from, and are gathered by shuffles; they grow with the input. What goes to the tasks is
-a table of log ratios of at most MODEL_GRAMS rows, those of the most frequent grams,
-and the calibration reads at most CALIBRATION_ROWS labelled documents.
+from, and are gathered by shuffles; they grow with the input. The table of log ratios is
+whole: one of MODEL_GRAMS rows at most is sent to the tasks, a larger one is joined with
+the documents' distinct grams by shuffles, with the same scores but for rounding. The
+calibration reads at most CALIBRATION_ROWS labelled documents.
 
 Cases: null texts count as empty and have the score of no evidence; rows with null
 labels aren't learned from, and of repeated labels the largest counts; without toxic
@@ -25,6 +26,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ ALPHABET = 200
 #: Log ratio from which a distinct word counts as strong evidence.
 STRONG = 4.0
 TOXIC = 0.7
+#: Rows of the table of log ratios up to which it is sent to the tasks.
 MODEL_GRAMS = 300_000
 CALIBRATION_ROWS = 30_000
 #: Words that a worker remembers or counts at a time.
@@ -147,8 +150,53 @@ class Scorer:
         return mean, math.log1p(sum(x - STRONG for x in values if x > STRONG))
 
 
-def _features(docs: DataFrame, models: list[dict[str, float]], carried: list[str]) -> DataFrame:
+def word_values(words: DataFrame, ratios: DataFrame) -> DataFrame:
+    """word and value (that of Scorer.word) of distinct words, from the whole table of ratios by shuffles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(word, gram) for word in batch.column(0).to_pylist() for gram in grams_of(word.encode())]
+            word, gram = zip(*pairs, strict=True) if pairs else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(gram, pa.string())], ["word", "gram"])
+
+    grams = words.mapInArrow(run, "word string, gram string")
+    known = grams.select("gram").distinct().withColumn("context", F.expr(f"left(gram, {ORDER - 1})"))
+    known = known.join(ratios.select("gram", "ratio"), "gram", "left")
+    known = known.join(ratios.select(F.col("gram").alias("context"), F.col("ratio").alias("other")), "context", "left")
+    known = known.select("gram", F.coalesce("ratio", "other", F.lit(0.0)).alias("value"))
+    return grams.join(known, "gram").groupBy("word").agg(F.sum("value").alias("value"))
+
+
+def _joined_features(docs: DataFrame, ratios: DataFrame, carried: list[str]) -> DataFrame:
+    """`carried` columns with x1 and x2, from a table of ratios that is too large to be sent to the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [(row, word.decode(), n) for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for word, n in Counter(words_of(text)).items()]
+            row, word, n = zip(*held, strict=True) if held else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(word, pa.string()), pa.array(n, pa.int64())], ["__row", "word", "n"])
+
+    rows = cut(docs.select(*carried, "__text").withColumn("__row", F.monotonically_increasing_id()))
+    held = rows.select("__row", "__text").mapInArrow(run, "`__row` long, word string, n long")
+    values = word_values(held.select("word").distinct(), ratios)
+    strong = F.when(F.col("value") > STRONG, F.col("value") - STRONG).otherwise(0.0)
+    found = held.join(values, "word").groupBy("__row").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("__x1"), F.log1p(F.sum(strong)).alias("__x2"))
+    return rows.join(found, "__row", "left").select(*carried, *(F.coalesce(x, F.lit(0.0)).alias(x) for x in ("__x1", "__x2")))
+
+
+def _features(docs: DataFrame, models: list[dict[str, float] | DataFrame], carried: list[str]) -> DataFrame:
     """`carried` columns with x1 and x2 from the model that column `model` names."""
+    parts = [_joined_features(docs.filter(F.col("__model") == k), x, carried) for k, x in enumerate(models) if isinstance(x, DataFrame)]
+    if parts:
+        rest = [k for k, x in enumerate(models) if not isinstance(x, DataFrame)]
+        if rest:
+            parts.append(_sent_features(docs.filter(F.col("__model").isin(rest)), [{} if isinstance(x, DataFrame) else x for x in models], carried))
+        return reduce(DataFrame.union, parts)
+    return _sent_features(docs, models, carried)
+
+
+def _sent_features(docs: DataFrame, models: list[dict[str, float]], carried: list[str]) -> DataFrame:
+    """`carried` columns with x1 and x2 from tables of ratios that are sent to the tasks."""
     sent = docs.sparkSession.sparkContext.broadcast(models)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carried).schema)
 
@@ -176,7 +224,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarra
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float], np.ndarray] | None:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float] | DataFrame, np.ndarray] | None:
     """The table of log ratios and the logistic weights, from rows whose remainder is not 1."""
     known = labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic")).filter("id is not null and toxic is not null")
     known = known.filter(remainder(F.col("id")) != 1).groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -189,7 +237,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return None
     tables = []
     for a, b in ((ordinary[1], toxic[1]), (ordinary[0], toxic[0]), (ordinary[0] + ordinary[1], toxic[0] + toxic[1])):  # the first scores fold 0
-        rows = log_ratios(grams, a, b).orderBy(F.desc("n"), "gram").limit(MODEL_GRAMS).select("gram", "ratio").toPandas()
+        ratios = cut(log_ratios(grams, a, b).select("gram", "ratio"))
+        if ratios.count() > MODEL_GRAMS:
+            tables.append(ratios)
+            continue
+        rows = ratios.toPandas()
         tables.append(dict(zip(rows["gram"], rows["ratio"].tolist(), strict=True)))
     some = max(1, -(-known.count() * 6 // (5 * CALIBRATION_ROWS)))
     sample = labelled.filter(F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(some)) == 0).limit(CALIBRATION_ROWS)
@@ -199,7 +251,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return tables[2], fit_logistic(rows[["__x1", "__x2"]].to_numpy(), rows["toxic"].to_numpy(float))
 
 
-def score_documents(docs: DataFrame, model: tuple[dict[str, float], np.ndarray] | None, text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, model: tuple[dict[str, float] | DataFrame, np.ndarray] | None, text_col: str = "text") -> DataFrame:
     """The rows of `docs` with their score in the column `__score`."""
     if model is None:
         return docs.withColumn("__score", F.lit(0.5))

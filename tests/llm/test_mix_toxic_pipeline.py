@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from skjald.llm import mixing, queries, toxicity
-from tests.llm.conftest import SF
+from tests.llm.conftest import SF, sentence
 
 
 def brute_targets(sizes, weights=(5, 2, 1), most=3):
@@ -208,3 +208,15 @@ def test_pipeline_run(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "ids", "n_tokens"} <= set(rows.columns)
     assert rows.count() > 0
+
+
+def test_large_tables_of_ratios_give_the_same_scores(spark, monkeypatch):
+    """A table above MODEL_GRAMS is joined whole, none of its rows is cut."""
+    rng = random.Random(37)
+    rows = [(i, None if i % 50 == 7 else " ".join([sentence(rng, 20), *(["grim vile"] if i % 3 == 0 else [])]) if i % 50 else "") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    few = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "MODEL_GRAMS", 20)
+    many = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    assert len(many) == 300 and many == pytest.approx(few, abs=1e-9)
