@@ -31,7 +31,7 @@ from skjald.llm.graph import components
 
 COSINE = 0.95
 TABLES, HASHES, PROBES = 8, 3, 4
-TILE, BIN = 512, 4096
+TILE, BIN = 512, 1024
 SEED = 20
 
 
@@ -99,37 +99,37 @@ def digest(x: str) -> F.Column:
     return F.xxhash64(F.transform(x, lambda v: v + F.lit(0.0)))
 
 
-def unit(rows: list[list[float]]) -> np.ndarray:
-    x = np.array(rows, np.float64)
+def unit(rows: pa.Array) -> np.ndarray:
+    """Unit vectors of lists that are equally long."""
+    x = rows.flatten().to_numpy().reshape(len(rows), -1)
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def hashed(found: DataFrame) -> DataFrame:
-    """bucket, kind, d, keys (all buckets of the vector, by table) of every class."""
+    """The classes with d (components) and keys (the buckets of all tables and their probes)."""
 
     def run(batches):
         for batch in batches:
-            sizes = np.array([len(x) for x in batch.column(1)])
+            sizes = np.array([len(x) for x in batch.column("x")])
             for d in np.unique(sizes):
                 part = batch.take(pa.array(np.flatnonzero(sizes == d)))
                 for at in range(0, part.num_rows, 2000):
                     some = part.slice(at, 2000)
-                    keys = buckets(unit(some.column(1).to_pylist()))
-                    n, width = len(keys), keys.shape[1] * keys.shape[2]
-                    flat = keys.reshape(n, width)
-                    every = pa.array(np.repeat(np.arange(n), width))
-                    yield pa.RecordBatch.from_arrays([pa.array(flat.ravel()), some.column(0).take(every), pa.array(np.full(n * width, d), pa.int32())], ["bucket", "kind", "d"])
+                    keys = buckets(unit(some.column("x"))).reshape(some.num_rows, -1)
+                    ends = pa.array(np.arange(some.num_rows + 1) * keys.shape[1], pa.int32())
+                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array(np.full(len(keys), d), pa.int32()), pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))], [*some.schema.names, "d", "keys"])
 
-    return found.select("kind", "x").mapInArrow(run, "bucket long, kind long, d int")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)
+    return found.mapInArrow(run, f"{kinds}, d int, keys array<long>")
 
 
 def tile_links(tile: pa.Table) -> pa.Table:
     """Links that meet in no earlier table, of one tile of a bucket or of several small buckets: sums by vector, and a forest of edges."""
     tile = tile.take(pa.compute.sort_indices(tile, [("bucket", "ascending"), ("kind", "ascending")]))
     kind, at, copies, bucket = (tile[c].to_numpy() for c in ("kind", "tile", "copies", "bucket"))
-    x = unit(tile["x"].to_pylist())
-    keys = buckets(x)
+    x = unit(tile["x"].combine_chunks())
+    keys = tile["keys"].combine_chunks().flatten().to_numpy().reshape(len(x), TABLES, PROBES)
     lo, hi = tile["lo"][0].as_py(), tile["hi"][0].as_py()
     n_links, root, edges = np.zeros(len(kind)), list(range(len(kind))), []
 
@@ -178,10 +178,11 @@ def tile_links(tile: pa.Table) -> pa.Table:
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """A row for each vector: vec_id, n_links, component_id and kept."""
-    found = cut(classes(vectors, id_col, vector_col))
-    members = cut(hashed(found).distinct())
+    found = cut(hashed(classes(vectors, id_col, vector_col)))
+    members = found.select("kind", "d", F.explode("keys").alias("bucket"))
     shared = cut(members.groupBy("bucket", "d").agg(F.count("*").alias("n")).filter("n > 1"))
-    rows = members.join(shared, ["bucket", "d"]).join(found.select("kind", "x", "copies"), "kind")
+    # The keys go with the vector, so that no task hashes it again.
+    rows = members.join(shared, ["bucket", "d"]).join(found.select("kind", "x", "copies", "keys"), "kind")
     # Buckets of one tile share tasks, some BIN rows in each group.
     bins = max(1, -(-(shared.filter(F.col("n") <= TILE).agg(F.sum("n")).first()[0] or 0) // BIN))
     tiles = tiled(rows, "bucket", "kind", TILE).withColumn("bin", F.when(F.col("n") <= TILE, -1 - F.pmod(F.xxhash64("bucket"), F.lit(bins))).otherwise(F.col("bucket"))).groupBy("bin", "d", "lo", "hi")
