@@ -5,20 +5,26 @@ word's next character after the ORDER - 1 before it. Its absolute discounts go t
 backoff probabilities that both classes share, which are Kneser-Ney continuation counts
 over the words of both, so that what is rare in either class tells little. A word's log
 ratio is the sum over its characters; a document is described by its mean over the
-words (the length-normalised comparison of the two log-likelihoods) and by the excess
-of its strongest distinct words. A logistic function fitted out of fold turns these two
-into a score.
+words (the length-normalised comparison of the two log-likelihoods), by the excess of
+its distinct words above STRONG, MOST of each at most, and by how many distinct words it
+has, as long texts have some strong ones by chance. A logistic function of these, fitted
+out of fold, is the score.
 
 Counts are of documents that hold a word, of all labelled rows that may be learned
-from, and are gathered by shuffles; they grow with the input. The table of log ratios is
-whole: one of MODEL_GRAMS rows at most is sent to the tasks, a larger one is joined with
-the documents' distinct grams by shuffles, with the same scores but for rounding. The
-calibration reads at most CALIBRATION_ROWS labelled documents.
-
-Cases: null texts count as empty and have the score of no evidence; rows with null
-labels aren't learned from, and of repeated labels the largest counts; without toxic
-and ordinary rows to learn from the score is 0.5; null and repeated ids are scored like
-any other row; other columns are kept or ignored, whatever their names are.
+from; the table of log ratios is whole, grows with the input, and stays in the shared
+folder. Tasks get its most frequent grams, SENT_GRAMS of them at most, in one string. A
+word whose grams are all among these is scored where it is read; one that holds another
+gram is joined with the whole table by shuffles, once for each distinct word, and its
+value is added to the documents that hold it. The scores don't depend on SENT_GRAMS.
+The calibration reads some CALIBRATION_ROWS labelled documents, chosen by a hash of their
+ids, and never more rows of features than that.
+
+Cases: null texts count as empty and have the score of no evidence; very long texts are
+read whole, as counts of their words; rows with null labels aren't learned from, and of
+repeated labels the largest counts; without toxic and ordinary rows to learn from the
+score is 0.5; null and repeated ids are scored like any other row, and rows of equal text
+have equal scores; a score that equals the threshold is toxic; an empty table gives an
+empty result; other columns are kept or ignored, whatever their names are.
 """
 
 from __future__ import annotations
@@ -26,7 +32,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,18 +40,18 @@ from pyspark.sql import functions as F
 
 from skjald.llm.common import cut, small
 
-ORDER = 4
+ORDER = 5
 DISCOUNT = 0.75
 #: Characters that a writing has at least, for the last backoff.
 ALPHABET = 200
-#: Log ratio from which a distinct word counts as strong evidence.
-STRONG = 4.0
+#: Log ratio from which a distinct word is evidence of its own, and the most that one counts beyond it.
+STRONG, MOST = 2.5, 4.0
 TOXIC = 0.7
-#: Rows of the table of log ratios up to which it is sent to the tasks.
-MODEL_GRAMS = 300_000
+#: Grams that are sent to the tasks: below about 40 MB for each worker and model.
+SENT_GRAMS = 200_000
 CALIBRATION_ROWS = 30_000
 #: Words that a worker remembers or counts at a time.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 100_000
 #: Rows of labels up to which they are broadcast: some 5 MB.
 LABEL_ROWS = 300_000
 #: Letters, digits and all bytes of other characters stay; A-Z become small.
@@ -95,13 +100,14 @@ def count_grams(labelled: DataFrame) -> DataFrame:
     return found.groupBy("gram").agg(*(F.sum(x).alias(x) for x in ("n00", "n01", "n10", "n11")))
 
 
-def log_ratios(grams: DataFrame, ordinary: Column, toxic: Column) -> DataFrame:
-    """gram, ratio and n: for each gram that occurs, log P(toxic) / P(ordinary) of its last
-    character, and for each context that occurs the same of a character that isn't seen after it."""
-    seen = grams.select("gram", ordinary.alias("c0"), toxic.alias("c1")).filter("c0 + c1 > 0")
+def log_ratios(grams: DataFrame, models: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """gram, n and a column for each of the models, given by its ordinary and toxic counts: for each
+    gram the log P(toxic) / P(ordinary) of its last character, and for each context that of a
+    character that isn't seen after it. The backoff, which knows no classes, is one for all models."""
+    names = list(models)
+    seen = grams.select("gram", *(c.alias(f"{m}_{y}") for m, both in models.items() for y, c in enumerate(both)))
     tail = lambda n: F.expr(f"right(gram, {n})")
     head = lambda n: F.expr(f"left(gram, {n})")
-    kinds = lambda c: F.sum((F.col(c) > 0).cast("long"))
     backoff = None
     for n in range(1, ORDER):
         # Continuation counts: the distinct grams, longer by one, that end in these n characters.
@@ -115,99 +121,138 @@ def log_ratios(grams: DataFrame, ordinary: Column, toxic: Column) -> DataFrame:
             level, lower = level.withColumn("next", tail(n - 1)).join(backoff, "next"), F.col("p")
         p = F.greatest(F.col("k") - DISCOUNT, F.lit(0.0)) / F.col("total") + DISCOUNT * F.col("kinds") / F.col("total") * lower
         backoff = level.select(F.col("gram").alias("next"), p.alias("p"))
-    contexts = seen.groupBy(head(ORDER - 1).alias("context")).agg(F.sum("c0").alias("x0"), F.sum("c1").alias("x1"), kinds("c0").alias("t0"), kinds("c1").alias("t1"))
-    left_over = lambda y: F.when(F.col(f"x{y}") > 0, DISCOUNT * F.col(f"t{y}") / F.col(f"x{y}")).otherwise(1.0)
-    rows = seen.withColumn("context", head(ORDER - 1)).withColumn("next", tail(ORDER - 1)).join(contexts, "context").join(backoff, "next")
-    share = lambda y: F.when(F.col(f"x{y}") > 0, F.greatest(F.col(f"c{y}") - DISCOUNT, F.lit(0.0)) / F.col(f"x{y}")).otherwise(0.0) + left_over(y) * F.col("p")
-    of_grams = rows.select("gram", F.log(share(1) / share(0)).alias("ratio"), (F.col("c0") + F.col("c1")).alias("n"))
-    return of_grams.union(contexts.select("context", F.log(left_over(1) / left_over(0)), F.col("x0") + F.col("x1")))
+    each = [f"{m}_{y}" for m in names for y in (0, 1)]
+    total = sum((F.col(c) for c in each), F.lit(0))
+    sums = [F.sum(c).alias(f"x_{c}") for c in each] + [F.sum((F.col(c) > 0).cast("long")).alias(f"t_{c}") for c in each]
+    contexts = seen.groupBy(head(ORDER - 1).alias("context")).agg(*sums, F.sum(total).alias("n"))
+    left_over = lambda c: F.when(F.col(f"x_{c}") > 0, DISCOUNT * F.col(f"t_{c}") / F.col(f"x_{c}")).otherwise(1.0)
+    rows = seen.withColumn("context", head(ORDER - 1)).withColumn("next", tail(ORDER - 1)).join(contexts.drop("n"), "context").join(backoff, "next")
+    share = lambda c: F.when(F.col(f"x_{c}") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"x_{c}")).otherwise(0.0) + left_over(c) * F.col("p")
+    of_grams = rows.select("gram", total.alias("n"), *(F.log(share(f"{m}_1") / share(f"{m}_0")).alias(m) for m in names))
+    return of_grams.union(contexts.select("context", "n", *(F.log(left_over(f"{m}_1") / left_over(f"{m}_0")) for m in names)))
 
 
 class Scorer:
-    """Features of documents from a table of log ratios."""
+    """What a document's words come to by the grams that were sent.
 
-    def __init__(self, ratios: dict[str, float]):
-        self.ratios, self.memo = ratios, {}
+    A table that is `whole` has all that the model knows; else a gram that it lacks may be
+    one of the others, and the word is left open."""
 
-    def word(self, word: bytes) -> float:
+    def __init__(self, grams: list[str], ratios: list[float], whole: bool):
+        self.ratios, self.whole = dict(zip(grams, ratios, strict=True)), whole
+        self.memo: dict[bytes, float | tuple[float, list[str]]] = {}
+
+    def word(self, word: bytes) -> float | tuple[float, list[str]]:
+        """The word's log ratio; if it is left open, that of its known grams, and the others."""
         found = self.memo.get(word)
         if found is None:
-            get = self.ratios.get
-            found = sum(x if (x := get(gram)) is not None else get(gram[:-1], 0.0) for gram in grams_of(word))
+            get, known, others = self.ratios.get, 0.0, []
+            for gram in grams_of(word):
+                ratio = get(gram)
+                if ratio is None:
+                    if self.whole:
+                        ratio = get(gram[:-1], 0.0)
+                    else:
+                        others.append(gram)
+                        continue
+                known += ratio
+            found = (known, others) if others else known
             if len(self.memo) >= MEMO_WORDS:
                 self.memo.clear()
             self.memo[word] = found
         return found
 
-    def features(self, text: str | None) -> tuple[float, float]:
-        """Mean log ratio of the words, and the logarithm of the excess of the strong ones."""
-        words = words_of(text)
-        if not words:
-            return 0.0, 0.0
-        counts = Counter(words)
-        values = list(map(self.word, counts))
-        mean = sum(map(float.__mul__, values, map(float, counts.values()))) / len(words)
-        return mean, math.log1p(sum(x - STRONG for x in values if x > STRONG))
-
-
-def word_values(words: DataFrame, ratios: DataFrame) -> DataFrame:
-    """word and value (that of Scorer.word) of distinct words, from the whole table of ratios by shuffles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = [(word, gram) for word in batch.column(0).to_pylist() for gram in grams_of(word.encode())]
-            word, gram = zip(*pairs, strict=True) if pairs else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(gram, pa.string())], ["word", "gram"])
+    def sums(self, text: str | None) -> tuple[int, int, float, float, list[dict]]:
+        """Numbers of words and of distinct ones, sum of their log ratios, excess of the strong ones, and the words left open."""
+        counts = Counter(words_of(text))
+        total = excess = 0.0
+        left = []
+        for word, n in counts.items():
+            value = self.word(word)
+            if type(value) is tuple:
+                left.append({"word": word.decode(), "n": n, "part": value[0], "grams": value[1]})
+            else:
+                total += n * value
+                if value > STRONG:
+                    excess += min(value - STRONG, MOST)
+        return sum(counts.values()), len(counts), total, excess, left
+
+
+def sent_grams(ratios: DataFrame, models: list[str]) -> tuple[str, list[np.ndarray], bool]:
+    """The most frequent grams, SENT_GRAMS at most, joined by blanks, their ratios by each model, and whether these are all."""
+    level = F.floor(F.log2("n")).cast("int")
+    sizes = {r.level: r.rows for r in ratios.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect()}  # a row for each power of two
+    held, lowest = 0, max(sizes, default=0) + 1
+    for x in sorted(sizes, reverse=True):
+        if held + sizes[x] > SENT_GRAMS:
+            break
+        held, lowest = held + sizes[x], x
+    rows = ratios.filter(level >= lowest).select("gram", *models).toArrow()
+    return " ".join(rows["gram"].to_pylist()), [rows[m].to_numpy() for m in models], held == sum(sizes.values())
 
-    grams = words.mapInArrow(run, "word string, gram string")
-    known = grams.select("gram").distinct().withColumn("context", F.expr(f"left(gram, {ORDER - 1})"))
-    known = known.join(ratios.select("gram", "ratio"), "gram", "left")
-    known = known.join(ratios.select(F.col("gram").alias("context"), F.col("ratio").alias("other")), "context", "left")
-    known = known.select("gram", F.coalesce("ratio", "other", F.lit(0.0)).alias("value"))
-    return grams.join(known, "gram").groupBy("word").agg(F.sum("value").alias("value"))
 
+def _features(docs: DataFrame, ratios: DataFrame, models: list[str], carried: list[str]) -> DataFrame:
+    """`carried` columns with x1 (mean log ratio of the words), x2 (logarithm of the excess of the strong ones) and x3 (that of the number of distinct words).
 
-def _joined_features(docs: DataFrame, ratios: DataFrame, carried: list[str]) -> DataFrame:
-    """`carried` columns with x1 and x2, from a table of ratios that is too large to be sent to the tasks."""
+    Column `__model` of `docs` is the place in `models` of the model that a row is scored by, and `__text` its text."""
+    grams, tables, whole = sent_grams(ratios, models)
+    sent = docs.sparkSession.sparkContext.broadcast((grams, tables))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+        grams, tables = sent.value
+        names = grams.split(" ") if grams else []
+        scorers = [Scorer(names, x.tolist(), whole) for x in tables]
         for batch in batches:
-            held = [(row, word.decode(), n) for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for word, n in Counter(words_of(text)).items()]
-            row, word, n = zip(*held, strict=True) if held else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(word, pa.string()), pa.array(n, pa.int64())], ["__row", "word", "n"])
-
-    rows = cut(docs.select(*carried, "__text").withColumn("__row", F.monotonically_increasing_id()))
-    held = rows.select("__row", "__text").mapInArrow(run, "`__row` long, word string, n long")
-    values = word_values(held.select("word").distinct(), ratios)
-    strong = F.when(F.col("value") > STRONG, F.col("value") - STRONG).otherwise(0.0)
-    found = held.join(values, "word").groupBy("__row").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("__x1"), F.log1p(F.sum(strong)).alias("__x2"))
-    return rows.join(found, "__row", "left").select(*carried, *(F.coalesce(x, F.lit(0.0)).alias(x) for x in ("__x1", "__x2")))
-
-
-def _features(docs: DataFrame, models: list[dict[str, float] | DataFrame], carried: list[str]) -> DataFrame:
-    """`carried` columns with x1 and x2 from the model that column `model` names."""
-    parts = [_joined_features(docs.filter(F.col("__model") == k), x, carried) for k, x in enumerate(models) if isinstance(x, DataFrame)]
-    if parts:
-        rest = [k for k, x in enumerate(models) if not isinstance(x, DataFrame)]
-        if rest:
-            parts.append(_sent_features(docs.filter(F.col("__model").isin(rest)), [{} if isinstance(x, DataFrame) else x for x in models], carried))
-        return reduce(DataFrame.union, parts)
-    return _sent_features(docs, models, carried)
-
-
-def _sent_features(docs: DataFrame, models: list[dict[str, float]], carried: list[str]) -> DataFrame:
-    """`carried` columns with x1 and x2 from tables of ratios that are sent to the tasks."""
-    sent = docs.sparkSession.sparkContext.broadcast(models)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carried).schema)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                yield part, [scorers[k].sums(text) for k, text in zip(part.column("__model").to_pylist(), part.column("__text").to_pylist(), strict=True)]
+
+    def run_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in scored(batches):
+            x = [(total / n if n else 0.0, math.log1p(excess), math.log1p(distinct)) for n, distinct, total, excess, _ in found]
+            columns = zip(*x, strict=True) if x else ((),) * 3
+            yield pa.RecordBatch.from_arrays([*map(part.column, carried), *(pa.array(c, pa.float64()) for c in columns)], [*carried, "__x1", "__x2", "__x3"])
+
+    if whole:
+        kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*carried).schema)
+        return docs.select(*carried, "__model", "__text").mapInArrow(run_whole, f"{kinds}`__x1` double, `__x2` double, `__x3` double")
+
+    left_type = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64()), ("part", pa.float64()), ("grams", pa.list_(pa.string()))]))
+
+    def run_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in scored(batches):
+            n, distinct, total, excess, left = zip(*found, strict=True) if found else ((),) * 5
+            columns = [pa.array(n, pa.int64()), pa.array(distinct, pa.int64()), pa.array(total, pa.float64()), pa.array(excess, pa.float64()), pa.array(left, left_type)]
+            yield pa.RecordBatch.from_arrays([part.column("__key"), part.column("__model"), *columns], ["__key", "__model", "words", "kinds", "total", "excess", "left"])
+
+    # Equal texts are scored alike, so that a text's digest is key enough, however rows are dealt.
+    keyed = docs.select(*carried, "__model", "__text", F.md5(F.coalesce("__text", F.lit(""))).alias("__key"))
+    key = ["__key", "__model"]
+    sums = keyed.select(*key, "__text").mapInArrow(run_open, "`__key` string, `__model` int, words long, kinds long, total double, excess double, `left` array<struct<word: string, n: long, part: double, grams: array<string>>>")
+    sums = cut(sums.dropDuplicates(key))
+    held = sums.select(*key, F.explode("left").alias("w")).select(*key, "w.*")
+    values = open_values(held.select("__model", "word", "part", "grams").dropDuplicates(["__model", "word"]), ratios, models)
+    more = held.select(*key, "word", "n").join(values, ["__model", "word"]).groupBy(*key).agg(F.sum(F.col("n") * F.col("value")).alias("more"), F.sum(F.least(F.greatest(F.col("value") - STRONG, F.lit(0.0)), F.lit(MOST))).alias("above"))
+    or_none = lambda c: F.coalesce(c, F.lit(0.0))
+    x1 = F.when(F.col("words") > 0, (F.col("total") + or_none("more")) / F.col("words")).otherwise(0.0)
+    found = sums.join(more, key, "left").select(*key, x1.alias("__x1"), F.log1p(F.col("excess") + or_none("above")).alias("__x2"), F.log1p("kinds").alias("__x3"))
+    return keyed.drop("__text").join(found, key).select(*carried, "__x1", "__x2", "__x3")
+
+
+def open_values(words: DataFrame, ratios: DataFrame, models: list[str]) -> DataFrame:
+    """__model, word and value of distinct words (__model, word, part, grams), from the whole table of ratios by shuffles."""
+    grams = words.select("__model", "word", F.explode("grams").alias("gram"))
+    known = grams.select("gram").distinct().withColumn("context", F.expr(f"left(gram, {ORDER - 1})"))
+    by_model = F.array(*models)
+    known = known.join(ratios.select("gram", by_model.alias("own")), "gram", "left").join(ratios.select(F.col("gram").alias("context"), by_model.alias("other")), "context", "left")
+    known = known.select("gram", F.coalesce("own", "other").alias("by_model"))
+    rest = grams.join(known, "gram").groupBy("__model", "word").agg(F.sum(F.coalesce(F.get("by_model", F.col("__model")), F.lit(0.0))).alias("rest"))
+    return words.select("__model", "word", "part").join(rest, ["__model", "word"]).select("__model", "word", (F.col("part") + F.col("rest")).alias("value"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers = [Scorer(x) for x in sent.value]
-        for batch in batches:
-            pairs = [scorers[k].features(text) for k, text in zip(batch.column("__model").to_pylist(), batch.column("__text").to_pylist(), strict=True)]
-            x1, x2 = zip(*pairs, strict=True) if pairs else ((), ())
-            yield pa.RecordBatch.from_arrays([*map(batch.column, carried), pa.array(x1, pa.float64()), pa.array(x2, pa.float64())], [*carried, "__x1", "__x2"])
 
-    return docs.select(*carried, "__model", "__text").mapInArrow(run, f"{schema}, `__x1` double, `__x2` double")
+def terms(x1, x2, x3) -> list:
+    """What the logistic function weighs, of numbers, arrays or columns."""
+    return [x1, x2, x3, x2 * x2, x2 * x3, x3 * x3]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -224,41 +269,37 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarra
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float] | DataFrame, np.ndarray] | None:
-    """The table of log ratios and the logistic weights, from rows whose remainder is not 1."""
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[DataFrame, np.ndarray] | None:
+    """The table of log ratios, whose model of all rows is `every`, and the logistic weights, from rows whose remainder is not 1."""
     known = labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic")).filter("id is not null and toxic is not null")
     known = known.filter(remainder(F.col("id")) != 1).groupBy("id").agg(F.max("toxic").alias("toxic"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    labelled = texts.join(small(known, LABEL_ROWS), "id").withColumn("fold", (remainder(F.col("id")) / 2).cast("int"))
-    grams = cut(count_grams(labelled))
-    ordinary, toxic = [F.col("n00"), F.col("n10")], [F.col("n01"), F.col("n11")]
-    sums = grams.agg(*(F.sum(x) for x in ordinary + toxic)).first()
-    if not all(sums):
+    fold = (remainder(F.col("id")) / 2).cast("int")
+    grams = cut(count_grams(texts.join(small(known, LABEL_ROWS), "id").withColumn("fold", fold)))
+    n = {c: F.col(c) for c in ("n00", "n01", "n10", "n11")}
+    if not all(grams.agg(*map(F.sum, n.values())).first()):
         return None
-    tables = []
-    for a, b in ((ordinary[1], toxic[1]), (ordinary[0], toxic[0]), (ordinary[0] + ordinary[1], toxic[0] + toxic[1])):  # the first scores fold 0
-        ratios = cut(log_ratios(grams, a, b).select("gram", "ratio"))
-        if ratios.count() > MODEL_GRAMS:
-            tables.append(ratios)
-            continue
-        rows = ratios.toPandas()
-        tables.append(dict(zip(rows["gram"], rows["ratio"].tolist(), strict=True)))
-    some = max(1, -(-known.count() * 6 // (5 * CALIBRATION_ROWS)))
-    sample = labelled.filter(F.pmod(F.xxhash64(F.lit(4), "id"), F.lit(some)) == 0).limit(CALIBRATION_ROWS)
-    rows = _features(sample.select("toxic", F.col("fold").alias("__model"), F.col("text").alias("__text")), tables[:2], ["toxic"]).toPandas()
-    if rows["toxic"].nunique() < 2:
+    # Each fold's documents are calibrated by the model of the other fold.
+    ratios = cut(log_ratios(grams, {"of_0": (n["n10"], n["n11"]), "of_1": (n["n00"], n["n01"]), "every": (n["n00"] + n["n10"], n["n01"] + n["n11"])}))
+    order = F.xxhash64(F.lit(4), "id")
+    chosen = known.filter(F.pmod(order, F.lit(max(1, -(-known.count() // CALIBRATION_ROWS)))) == 0)
+    sample = texts.join(small(chosen, LABEL_ROWS), "id").select("toxic", order.alias("order"), fold.alias("__model"), F.col("text").alias("__text"))
+    rows = _features(sample, ratios, ["of_0", "of_1"], ["toxic", "order"]).orderBy("order", "__x1", "__x2", "__x3", "toxic").limit(CALIBRATION_ROWS).toArrow()
+    toxic = rows["toxic"].to_numpy().astype(float)
+    if len(set(toxic.tolist())) < 2:
         return None
-    return tables[2], fit_logistic(rows[["__x1", "__x2"]].to_numpy(), rows["toxic"].to_numpy(float))
+    return ratios, fit_logistic(np.column_stack(terms(*(rows[f"__x{k}"].to_numpy() for k in (1, 2, 3)))), toxic)
 
 
-def score_documents(docs: DataFrame, model: tuple[dict[str, float] | DataFrame, np.ndarray] | None, text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, model: tuple[DataFrame, np.ndarray] | None, text_col: str = "text") -> DataFrame:
     """The rows of `docs` with their score in the column `__score`."""
     if model is None:
         return docs.withColumn("__score", F.lit(0.5))
-    table, weights = model
-    found = _features(docs.withColumn("__model", F.lit(0)).withColumn("__text", F.col(text_col)), [table], docs.columns)
-    a, b, c = map(float, weights)
-    return found.select(*docs.columns, (1 / (1 + F.exp(-(a * F.col("__x1") + b * F.col("__x2") + c)))).alias("__score"))
+    ratios, weights = model
+    found = _features(docs.withColumn("__model", F.lit(0)).withColumn("__text", F.col(text_col)), ratios, ["every"], docs.columns)
+    *each, constant = map(float, weights)
+    total = sum((w * x for w, x in zip(each, terms(*map(F.col, ("__x1", "__x2", "__x3"))), strict=True)), F.lit(constant))
+    return found.select(*docs.columns, (1 / (1 + F.exp(-total))).alias("__score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:

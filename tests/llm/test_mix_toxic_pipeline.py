@@ -126,7 +126,7 @@ def test_log_ratios(spark):
     rows = spark.createDataFrame([(g, *c) for g, c in counts.items()], "gram string, a long, b long")
     from pyspark.sql import functions as F
 
-    found = {r.gram: r.ratio for r in toxicity.log_ratios(rows, F.col("a"), F.col("b")).collect()}
+    found = {r.gram: r.ratio for r in toxicity.log_ratios(rows, {"ratio": (F.col("a"), F.col("b"))}).collect()}
     for gram in counts:
         assert found[gram] == pytest.approx(brute_ratio(counts, gram))
         assert found[gram[:-1]] == pytest.approx(brute_ratio(counts, gram[:-1] + "￿"), abs=1e-9)
@@ -211,12 +211,12 @@ def test_pipeline_run(spark):
 
 
 def test_large_tables_of_ratios_give_the_same_scores(spark, monkeypatch):
-    """A table above MODEL_GRAMS is joined whole, none of its rows is cut."""
+    """What isn't sent to the tasks is joined: none of the table's rows is cut."""
     rng = random.Random(37)
     rows = [(i, None if i % 50 == 7 else " ".join([sentence(rng, 20), *(["grim vile"] if i % 3 == 0 else [])]) if i % 50 else "") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
     few = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
-    monkeypatch.setattr(toxicity, "MODEL_GRAMS", 20)
+    monkeypatch.setattr(toxicity, "SENT_GRAMS", 200)
     many = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
     assert len(many) == 300 and many == pytest.approx(few, abs=1e-9)
