@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skjald.sources.shared import remove, shared_path, shared_root  # noqa: F401 - used by the operators
+
 #: Rows up to which a table of short rows is broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 20_000
 #: ASCII blanks: words are what stands between them.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one under /tmp where none is set, as in tests."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/checkpoints/skjald"
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh place in the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def cut(df: DataFrame) -> DataFrame:
     """`df` with its lineage cut by a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
@@ -31,18 +23,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a table that was written to the shared folder."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks `df` for broadcast if its counted rows are few, else leaves the join to shuffles."""
     few = df.limit(rows + 1).count() <= rows
     return F.broadcast(df) if few else df
 
 
+def by_size(sizes: list[int], most: int) -> Iterator[slice]:
+    """Runs of rows whose sizes sum to `most`, unless one row has more."""
+    start = held = 0
+    for i, n in enumerate(sizes):
+        if held and held + n > most:
+            yield slice(start, i)
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,8 +56,6 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-
-
 def tiled(rows: DataFrame, group: str, member: str, size: int) -> DataFrame:
     """Splits groups of `n` rows into tiles of about `size`, and sends each row to all tiles that it meets.
 

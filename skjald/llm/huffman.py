@@ -11,8 +11,11 @@ shard), lanes (bits of each lane as little-endian 16-bit integers) and payload;
 `codebook`: id and code length.
 
 Cases: a null text counts as empty; each document ends with the end id, so that an
-empty one has one id; null doc_ids come first; rows with equal doc_id are ordered by
-their ids; an empty table gives empty files; other columns are ignored.
+empty one has one id; a very long text is one block, encoded by itself; an added token of
+the vocabulary, such as <|endoftext|>, is one id wherever it stands, as in the library;
+null doc_ids come first; rows with equal or no doc_id are ordered by the crc32 of their
+ids, and dealt to several shards by it where they are many; an empty table gives empty
+files; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,89 +23,135 @@ from __future__ import annotations
 import bisect
 import functools
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skjald.llm.common import remove, shared_path, tokenizer_file
+from skjald.llm.common import by_size, remove, shared_path, tokenizer_file
 
 MAX_BITS = 16
 LANE = 64
 #: Ids that a task encodes or decodes at a time, unless one document has more.
 CHUNK_IDS = 1 << 16
-#: Parts remembered in each of a worker's two memories, and the longest: below about 150 MB.
-MEMO_PARTS, MEMO_CHARS = 500_000, 40
+#: Pieces, of Latin letters or marks, remembered in each of a worker's two memories: below about 120 MB.
+MEMO_PIECES = 300_000
+#: Characters of texts that are encoded at a time, unless one document has more.
+CHUNK_CHARS = 8_000_000
+#: A line of a part that is one short piece of letters and perhaps one of marks after it. An apostrophe may begin a piece of its own.
+LETTERS, MARKS = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]{1,40}", r"[!-&(-/:-@\[-`{-~]{0,8}"
+LATIN = re.compile(f"({LETTERS})({MARKS})\\Z")
+#: What stands for each byte in the vocabulary: printable ones for themselves, the others for the characters from U+0100 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+SHOWN = {byte: 0x100 + i for i, byte in enumerate(x for x in range(256) if x not in PRINTABLE)}
 
 
 class Encoder:
     """The library's tokenizer with a memory of what stands between single blanks.
 
     The vocabulary's split pattern never joins what stands before a blank that is alone
-    to what follows it, so that such parts are encoded by themselves."""
+    to what follows it, so that such parts are encoded by themselves, each distinct one of
+    a batch once. Parts of Latin letters are cut into the pattern's pieces here and go to
+    the library's model; all others go through the whole tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        words = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.sizes = np.zeros(1 << 16, np.int64)
-        self.sizes[list(words.values())] = [len(word) for word in words]  # a character of its own stands for each byte
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model.tokenize
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u2").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def parts(self, parts: list[str]) -> Iterator[bytes]:
-        """Ids of a blank and each of the parts, which the tokenizer gets many at a time."""
-        for at in range(0, len(parts), 4096):
-            some = parts[at : at + 4096]
-            ids = np.frombuffer(self.raw([" " + " ".join(some)])[0], "<u2")
-            ends = np.cumsum([1 + len(part.encode()) for part in some])
-            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends).tolist()
-            start = 0
-            for cut in cuts:
-                yield ids[start : cut + 1].tobytes()
-                start = cut + 1
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each of the pieces that the split pattern makes."""
+        found = list(map(self.young.get, pieces))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            piece = pieces[i]
+            ids = self.old.get(piece)
+            if ids is None:
+                shown = "\u0120" + piece[1:] if piece[0] == " " and piece.isascii() else piece.encode().decode("latin-1").translate(SHOWN)
+                ids = array("H", [token.id for token in self.model(shown)]).tobytes()
+            if len(self.young) >= MEMO_PIECES:  # what isn't asked for until the next time is forgotten
+                self.young, self.old = {}, self.young
+            self.young[piece] = found[i] = ids
+        return found
+
+    def _part(self, part: str) -> bytes | None:
+        """Ids of a blank and the part, which has other characters than LATIN; none for one that isn't whole."""
+        if not _whole(part):
+            return None
+        lines = list(map(LATIN.match, part.split("\n")))
+        if len(lines) == 1 or not all(lines):
+            return self.raw([" " + part])[0]
+        pieces = [x for line in lines for x in ("\n", *line.groups()) if x]  # the end of a line between other characters is a piece
+        return b"".join(self._pieces([" " + pieces[1], *pieces[2:]]))
+
+    def _distinct(self, parts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, the first and the second piece of a blank and each part, and which parts aren't whole."""
+        both = pc.extract_regex(parts, f"^(?P<core>{LETTERS})(?P<mark>{MARKS})$")
+        latin = both.is_valid().to_numpy(zero_copy_only=False)
+        core, mark = (both.field(k).filter(pa.array(latin)).dictionary_encode() for k in (0, 1))
+        others = np.flatnonzero(~latin)
+        odd = list(map(self._part, parts.take(pa.array(others)).to_pylist()))
+        entries = [b"", *self._pieces(pc.binary_join_element_wise(pa.scalar("", core.dictionary.type), core.dictionary, pa.scalar(" ", core.dictionary.type)).to_pylist())]
+        marks, first, second = len(entries), np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        entries += [ids for x in mark.dictionary.to_pylist() for ids in (self._pieces([x]) if x else [b""])]
+        first[latin], second[latin] = 1 + core.indices.to_numpy(), marks + mark.indices.to_numpy()
+        first[others] = len(entries) + np.arange(len(odd))
+        bad = np.zeros(len(parts), bool)
+        bad[others[[i for i, ids in enumerate(odd) if ids is None]]] = True
+        return entries + [ids or b"" for ids in odd], first, second, bad
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 16-bit integers."""
-        split, found, missed = [text.split(" ") for text in texts], [], set()
-        for parts in split:
-            ids = list(map(self.young.get, parts))
-            ids[0] = b""
-            if None in ids:
-                missed.update(part for part, known in zip(parts, ids, strict=True) if known is None)
-            found.append(ids)
-        missed = sorted(filter(_kept, missed))
-        known = {part: ids for part in missed if (ids := self.old.get(part)) is not None}
-        fresh = [part for part in missed if part not in known]
-        known.update(zip(fresh, self.parts(fresh), strict=True))
-        heads = self.raw([parts[0] for parts in split])
-        out = []
-        for text, parts, ids, head in zip(texts, split, found, heads, strict=True):
-            if None in ids:
-                ids = [known.get(part) if x is None else x for part, x in zip(parts, ids, strict=True)]
-            ids[0] = head
-            whole = len(parts) > 1 and not _whole(parts[0]) or None in ids
-            out.append(self.raw([text])[0] if whole else b"".join(ids))
-        if len(self.young) + len(known) > MEMO_PARTS:  # what isn't asked for until the next time is forgotten
-            self.young, self.old = {}, self.young
-        self.young.update(known)
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        stops = split.offsets.to_numpy()[1:].astype(np.int64)
+        starts = np.append(0, stops[:-1])
+        heads = pc.list_element(split, 0).to_pylist()  # the first part of a text has no blank before it
+        follow = np.ones(int(stops[-1]), bool)
+        follow[starts] = False
+        parts = split.flatten().filter(pa.array(follow)).dictionary_encode()
+        entries, first, second, bad = self._distinct(parts.dictionary)
+        codes = parts.indices.to_numpy()
+        places = np.zeros((len(follow), 2), np.int64)
+        places[follow, 0], places[follow, 1] = first[codes], second[codes]
+        places[starts, 0] = len(entries) + np.arange(len(texts))
+        entries += self.raw(heads)
+        unsure = np.zeros(len(follow), bool)
+        unsure[follow] = bad[codes]
+        whole = set(np.flatnonzero(np.logical_or.reduceat(unsure, starts)).tolist())
+        for i, (text, head) in enumerate(zip(texts, heads, strict=True)):
+            # An added token is one id, wherever it stands.
+            if len(head) < len(text) and not _whole(head) or any(x in text for x in self.added):
+                whole.add(i)
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 2
+        table, each = np.frombuffer(b"".join(entries), "<u2"), sizes[places.ravel()]
+        ends = np.cumsum(each)
+        at = np.arange(int(ends[-1])) + np.repeat((np.cumsum(sizes) - sizes)[places.ravel()] - ends + each, each)
+        joined = table[at].tobytes()
+        bounds = (2 * np.append(0, ends)[2 * np.append(starts, len(follow))]).tolist()
+        out = [joined[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        if whole:
+            order = sorted(whole)
+            for i, x in zip(order, self.raw([texts[i] for i in order]), strict=True):
+                out[i] = x
         return out
 
 
-def _kept(part: str) -> bool:
-    return len(part) <= MEMO_CHARS and _whole(part)
-
-
 def _whole(part: str) -> bool:
     """False if the part is empty or has a blank at an end, next to the one at which it was cut."""
     return part != "" and not part[0].isspace() and not part[-1].isspace()
@@ -210,18 +259,6 @@ class Codebook:
         return out
 
 
-def _by_size(sizes: list[int]) -> Iterator[slice]:
-    """Runs of rows with about CHUNK_IDS ids each."""
-    start = held = 0
-    for i, n in enumerate(sizes):
-        if held and held + n > CHUNK_IDS:
-            yield slice(start, i)
-            start, held = i, 0
-        held += n
-    if start < len(sizes):
-        yield slice(start, len(sizes))
-
-
 def tokenize_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of documents with their ids (16-bit, in a binary), and rows that count a batch's ids."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -233,9 +270,10 @@ def tokenize_documents(docs: DataFrame, path: str, end_id: int, id_col: str = "d
         seen = np.zeros(1 << 16, np.int64)
         for batch in batches:
             key = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                ids = [x + end for x in tool.encode([x or "" for x in part.column(1).to_pylist()])]
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            for rows in by_size(list(map(len, texts)), CHUNK_CHARS):
+                part = batch[rows]
+                ids = [x + end for x in tool.encode(texts[rows])]
                 seen += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=1 << 16)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names)
         if key is not None:
@@ -262,26 +300,36 @@ def count_ids(tokens: DataFrame) -> np.ndarray:
     return counts
 
 
-def shard_bounds(tokens: DataFrame, shards: int) -> list[int]:
-    """Ids that part the documents into about equal shards; `shards` of them at most."""
+def shard_bounds(tokens: DataFrame, shards: int) -> tuple[list[int], int]:
+    """Ids in ascending order that part the documents into about equal shards, `shards` of them at most, and the shards of rows without an id.
+
+    An id that is in the list several times has as many shards of its own."""
     at = [i / shards for i in range(1, shards)]
-    found = tokens.select(F.percentile_approx("doc_id", at, 20 * shards).alias("at")).first().at if at else None
-    return sorted(set(found or []))
+    found = tokens.agg(F.percentile_approx("doc_id", at or [0.5], 20 * shards).alias("at"), F.count("*").alias("n"), F.count("doc_id").alias("known")).first()
+    return (found.at or []) if at else [], -(-shards * (found.n - found.known) // max(found.n, 1))
+
+
+def shard_of(doc_id: int | None, tie: int, bounds: list[int], without: int) -> int:
+    """The shard of a row; those of equal or no ids are dealt by their ties, of 32 bits."""
+    if doc_id is None:
+        return tie * without >> 32
+    low, high = bisect.bisect_left(bounds, doc_id), bisect.bisect_right(bounds, doc_id)
+    return without + (low + 1 + (tie * (high - low) >> 32) if high > low else low)
 
 
-def encode_blocks(tokens: DataFrame, book: Codebook, bounds: list[int]) -> DataFrame:
-    """A block for each row of doc_id and ids, with the shard that `bounds` give it; null ids are in the first."""
+def encode_blocks(tokens: DataFrame, book: Codebook, bounds: list[int], without: int) -> DataFrame:
+    """A block for each row of doc_id and ids, with its shard; rows without an id are in the first ones."""
     kind, lengths = tokens.schema["doc_id"].dataType.simpleString(), tokens.sparkSession.sparkContext.broadcast(book.lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = Codebook(lengths.value)
         for batch in batches:
             raw = batch.column(1).to_pylist()
-            for rows in _by_size([len(x) // 2 for x in raw]):
+            for rows in by_size([len(x) // 2 for x in raw], CHUNK_IDS):
                 sizes = np.array([len(x) // 2 for x in raw[rows]], np.int64)
                 lanes, payloads = zip(*book.encode(np.frombuffer(b"".join(raw[rows]), "<u2"), sizes), strict=True)
                 tie = [zlib.crc32(x) for x in raw[rows]]
-                shard = [0 if x is None else 1 + bisect.bisect_right(bounds, x) for x in batch.column(0)[rows].to_pylist()]
+                shard = [shard_of(x, t, bounds, without) for x, t in zip(batch.column(0)[rows].to_pylist(), tie, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), batch.column(0)[rows], pa.array(tie, pa.int64()), pa.array(sizes), pa.array(lanes, pa.binary()), pa.array(payloads, pa.binary())], ["shard", "doc_id", "tie", "n_ids", "lanes", "payload"])
 
     return tokens.select("doc_id", "ids").mapInArrow(run, f"shard int, doc_id {kind}, tie long, n_ids long, lanes binary, payload binary")
@@ -317,8 +365,9 @@ def write_files(docs: DataFrame, to: str, path: str | None = None, end_id: int =
     ids = np.flatnonzero(book.lengths)
     spark.createDataFrame([(int(i), int(book.lengths[i])) for i in ids], "id int, bits int").coalesce(1).write.parquet(f"{to}/codebook")
     tokens = tokens.filter(F.col("ids").isNotNull())
-    bounds = shard_bounds(tokens, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = encode_blocks(tokens, book, bounds).repartition("shard").sortWithinPartitions("shard", "doc_id", "tie")
+    bounds, without = shard_bounds(tokens, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A part file for each shard, in their order.
+    blocks = encode_blocks(tokens, book, bounds, without).repartitionById(without + len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "tie")
     _placed(blocks).write.option("compression", "uncompressed").parquet(f"{to}/blocks")
     remove(spark, tokens_at)
 
@@ -342,7 +391,7 @@ def read_files(spark: SparkSession, at: str, with_ids: bool = True) -> DataFrame
         for batch in batches:
             sizes, lanes, payloads = batch.column("n_ids").to_numpy(), batch.column("lanes").to_pylist(), batch.column("payload").to_pylist()
             start = np.array([offsets[x] for x in batch.column("shard").to_pylist()], np.int64) + batch.column("shard_start").to_numpy()
-            for rows in _by_size(sizes.tolist()):
+            for rows in by_size(sizes.tolist(), CHUNK_IDS):
                 ids = book.decode(sizes[rows], lanes[rows], payloads[rows]).astype("<u4")
                 ends = np.cumsum(sizes[rows])
                 raw = memoryview(ids.tobytes())

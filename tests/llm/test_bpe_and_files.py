@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
 import tiktoken
@@ -102,7 +103,6 @@ def test_blocks_round_trip(docs):
 def wanted(docs):
     """Rows of the contract by the library alone."""
     tokenizer, out, start = Tokenizer.from_file(JSON), [], 0
-    tokenizer.encode_special_tokens = True
     for doc_id, text in sorted(docs, key=lambda x: x[0]):
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
@@ -114,7 +114,6 @@ def test_encoder_is_the_librarys():
     rng = random.Random(2)
     texts = ["".join(rng.choice(" \n'sxé漢1,.\x1c\x85 <|>") for _ in range(rng.randrange(25))) for _ in range(3000)]
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     tool = huffman.encoder(JSON)
     for _ in range(2):
         assert [np.frombuffer(x, "<u2").tolist() for x in tool.encode(texts)] == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -135,6 +134,16 @@ def test_file_operator(spark, documents, empty, texts, tmp_path):
     assert huffman.read_files(spark, str(tmp_path / "c")).count() == 0
 
 
+def test_files_are_ascending_and_hot_ids_have_several_shards(spark, tmp_path):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text number {i}") for i in range(900)]
+    huffman.write_files(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "d"))
+    files = sorted((tmp_path / "d" / "blocks").glob("*.parquet"))
+    ids = [x for file in files for x in pq.read_table(file, columns=["doc_id"]).column(0).to_pylist()]
+    assert ids == sorted((x for x, _ in rows), key=lambda x: (x is not None, x or 0))
+    shards = {(r.doc_id, r.shard) for r in spark.read.parquet(str(tmp_path / "d" / "blocks")).filter("doc_id = 7 or doc_id is null").collect()}
+    assert sum(x == 7 for x, _ in shards) > 2 and sum(x is None for x, _ in shards) > 2
+
+
 def test_file_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     rows = queries.op5_huffman_ids(spark, SF).orderBy("doc_id").collect()
