@@ -2,33 +2,83 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skjald.operators.reruns import sized
+
 
-def index(songs: DataFrame, key: str, tokens: str, size: int = 3) -> DataFrame:
+def index(songs: DataFrame, key: str, tokens: str | Column, size: int = 3, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """song_id, hash and offset of each run of `size` tokens of an array."""
-    runs = F.transform(F.sequence(F.lit(1), F.size(tokens) - size + 1), lambda i: F.xxhash64(F.array_join(F.slice(tokens, i, size), " ")))
-    return songs.filter(F.size(tokens) >= size).select(F.col(key).alias("song_id"), F.posexplode(runs).alias("offset", "hash"))
+    n = F.size(tokens) - size + 1
+    # The shifted arrays are arguments, not captured by the lambda, so that each is made once a row.
+    shifted = [F.slice(tokens, F.lit(k + 1), F.greatest(n, F.lit(0))) for k in range(size)]
+    run = F.transform(F.arrays_zip(*shifted), lambda z: digest(F.concat_ws(" ", *(z.getField(str(k)) for k in range(size)))))
+    return songs.filter(n > 0).select(F.col(key).alias("song_id"), F.posexplode(run).alias("offset", "hash"))
 
 
 def match(query: DataFrame, indexed: DataFrame, confidence: float = 0.0) -> DataFrame:
     """query_id, song_id, aligned, confidence and rank of songs whose hashes agree with a query's at one shift.
 
     A song's votes are the query's distinct hashes at its best shift, and its confidence their share
-    of all of the query's hashes. Repeats of a hash within a query count once."""
+    of all of the query's hashes. Repeats of a hash within a query count once; a query, song and
+    shift fix the offset of each hash, so that rows are votes."""
     asked = query.groupBy(F.col("song_id").alias("query_id"), "hash").agg(F.min("offset").alias("at"))
     totals = asked.groupBy("query_id").agg(F.count("*").alias("total"))
-    votes = asked.join(indexed, "hash").groupBy("query_id", "song_id", (F.col("offset") - F.col("at")).alias("shift")).agg(F.count_distinct("hash").alias("n"))
+    votes = asked.join(indexed, "hash").groupBy("query_id", "song_id", (F.col("offset") - F.col("at")).alias("shift")).agg(F.count("*").alias("n"))
     best = votes.groupBy("query_id", "song_id").agg(F.max("n").alias("aligned")).join(totals, "query_id").withColumn("confidence", F.col("aligned") / F.col("total"))
     order = Window.partitionBy("query_id").orderBy(F.desc("aligned"), "song_id")
     return best.filter(F.col("confidence") >= confidence).withColumn("rank", F.row_number().over(order)).select("query_id", "song_id", "aligned", "confidence", "rank")
 
 
-def listed(matches: DataFrame) -> DataFrame:
-    """Per query the matched songs and their confidences, by rank."""
+def index_names(asked: DataFrame, names: DataFrame) -> DataFrame:
+    """channel, year and name: the index whose name has the channel, an underscore and, somewhere after, the year.
+
+    `asked` has channel and year, `names` the column name. It is an error if several names fit;
+    what has no index has no row."""
+    pattern = F.concat(F.col("channel"), F.lit("_.*"), F.col("year").cast("string"))
+    rows = asked.select("channel", "year").distinct()
+    found = rows.join(sized(names.select("name").distinct()), F.regexp_like("name", pattern)).groupBy("channel", "year").agg(F.collect_set("name").alias("fit"))
+    several = F.raise_error(F.concat(F.lit("several indexes fit "), "channel", F.lit(" "), F.col("year").cast("string"))).cast("string")
+    return found.select("channel", "year", F.when(F.size("fit") == 1, F.element_at("fit", 1)).otherwise(several).alias("name"))
+
+
+def match_indexes(query: DataFrame, indexes: DataFrame, names: DataFrame, confidence: float = 0.0) -> DataFrame:
+    """match() in each of the named indexes apart: adds the column name, within which ranks count.
+
+    `indexes` is the table of all of them, with name, song_id, hash and offset: a search over many
+    indexes is one join, not a loop, and folders by name prune those that aren't asked for."""
+    asked = query.groupBy(F.col("song_id").alias("query_id"), "hash").agg(F.min("offset").alias("at"))
+    totals = asked.groupBy("query_id").agg(F.count("*").alias("total"))
+    chosen = indexes.join(sized(names.select("name").distinct()), "name", "left_semi")
+    votes = asked.join(chosen, "hash").groupBy("query_id", "name", "song_id", (F.col("offset") - F.col("at")).alias("shift")).agg(F.count("*").alias("n"))
+    best = votes.groupBy("query_id", "name", "song_id").agg(F.max("n").alias("aligned")).join(totals, "query_id").withColumn("confidence", F.col("aligned") / F.col("total"))
+    order = Window.partitionBy("query_id", "name").orderBy(F.desc("aligned"), "song_id")
+    return best.filter(F.col("confidence") >= confidence).withColumn("rank", F.row_number().over(order)).select("query_id", "name", "song_id", "aligned", "confidence", "rank")
+
+
+def listed(matches: DataFrame, *by: str) -> DataFrame:
+    """Per query, and `by`, the matched songs and their confidences, by rank."""
     rows = F.array_sort(F.collect_list(F.struct("rank", "song_id", "confidence")))
-    return matches.groupBy("query_id").agg(rows.alias("r")).select("query_id", F.col("r.song_id").alias("matched"), F.col("r.confidence").alias("confidences"))
+    return matches.groupBy("query_id", *by).agg(rows.alias("r")).select("query_id", *by, F.col("r.song_id").alias("matched"), F.col("r.confidence").alias("confidences"))
+
+
+def find_duplicates(rows: DataFrame, key: str, query: DataFrame, indexes: DataFrame, names: list[str]) -> DataFrame:
+    """The rows with matched_files_, confidences_ and error_ of each index: what it has that matches, best first.
+
+    The error is that the row has no fingerprint in `query`. Columns come together by the rows' key, not by their places."""
+    spark = rows.sparkSession
+    found = listed(match_indexes(query, indexes, spark.createDataFrame([(n,) for n in names], "name string")), "name")
+    wide = found.groupBy("query_id").pivot("name", names).agg(F.first("matched").alias("matched"), F.first("confidences").alias("confidences"))
+    known = query.select(F.col("song_id").alias("__known")).distinct()
+    out = rows.join(known, rows[key] == F.col("__known"), "left").join(wide, rows[key] == F.col("query_id"), "left")
+    columns = []
+    for name in names:
+        matched, confidences = F.col(f"`{name}_matched`"), F.col(f"`{name}_confidences`")
+        columns += [F.coalesce(matched, F.array().cast(out.schema[f"{name}_matched"].dataType)).alias(f"matched_files_{name}"), F.coalesce(confidences, F.array().cast("array<double>")).alias(f"confidences_{name}"), F.col("__known").isNull().alias(f"error_{name}")]
+    return out.select(*(rows[c] for c in rows.columns), *columns)
 
 
 def duplicates(matches: DataFrame, least: float = 0.5) -> DataFrame:

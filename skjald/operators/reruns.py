@@ -78,5 +78,42 @@ def audit(wanted: DataFrame, done: DataFrame, path: str = "file_path") -> DataFr
 
 
 def first_match(rows: DataFrame, texts: DataFrame, text: str, part: str, order: str) -> DataFrame:
-    """For each row of `rows` (with column `part`), the first row of `texts` in `order` whose `text` holds it, by a scan against the parts, whose number is checked."""
-    return texts.join(sized(rows), F.contains(F.col(text), F.col(part))).groupBy(*rows.columns).agg(F.min(order).alias("first_match"), F.count("*").alias("n_matches"))
+    """For each row of `rows` (with column `part`), the first row of `texts` in `order` whose `text` holds it, and how many do.
+
+    A part's words but the first and last are whole words of each text that holds it: the
+    one of them that the fewest texts have finds the texts, and the part is then looked for
+    in these. Parts of fewer than three words meet all texts."""
+    words_of = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
+    parts = rows.withColumn("__inner", words_of(F.array_join(F.slice(F.split(part, " "), F.lit(2), F.greatest(F.size(F.split(part, " ")) - 2, F.lit(0))), " ")))
+    asked = parts.select(F.explode("__inner").alias("__word")).distinct()
+    held = texts.select(F.explode(words_of(F.col(text))).alias("__word")).join(sized(asked), "__word", "left_semi").groupBy("__word").agg(F.count("*").alias("__n"))
+    each = parts.filter(F.size("__inner") > 0).drop("__inner").distinct().withColumn("__word", F.explode(words_of(F.array_join(F.slice(F.split(part, " "), F.lit(2), F.size(F.split(part, " ")) - 2), " "))))
+    rarest = each.join(sized(held), "__word").groupBy(*rows.columns).agg(F.min_by("__word", F.struct("__n", "__word")).alias("__word"))
+    with_word = rows.join(rarest.select(F.col(part).alias("__part"), "__word").distinct(), F.col(part) == F.col("__part")).drop("__part")
+    long = texts.withColumn("__word", F.explode(words_of(F.col(text)))).join(sized(with_word), "__word").filter(F.contains(F.col(text), F.col(part))).drop("__word")
+    short = texts.join(sized(parts.filter(F.size("__inner") == 0).drop("__inner")), F.contains(F.col(text), F.col(part)))
+    found = long.select(*rows.columns, order).union(short.select(*rows.columns, order))
+    return found.groupBy(*rows.columns).agg(F.min(order).alias("first_match"), F.count("*").alias("n_matches"))
+
+
+def only_months(files: DataFrame, month: str, months: list[str], exclude: bool = False) -> DataFrame:
+    """The files of the months on the list, or of all others."""
+    listed = F.col(month).isin(months)
+    return files.filter(~listed if exclude else listed)
+
+
+def without_rows(rows: DataFrame, number: str, bad: list[int]) -> DataFrame:
+    """Drops rows by their number in the source, which is a column: rows of a table have no places."""
+    return rows.filter(~F.col(number).isin(bad))
+
+
+def zipped(left: DataFrame, right: DataFrame, number: str) -> DataFrame:
+    """Columns of both tables side by side, by the number that both have for each row; what one lacks is null."""
+    return left.join(right, number, "full")
+
+
+def snippets(files: DataFrame, done: DataFrame, key: str, samples: str, start: int, end: int, rate: int = 16_000) -> DataFrame:
+    """Samples from second `start` to `end` of each file, as far as it has them, but for the files that are in `done`."""
+    n = F.col(samples)
+    rows = pending(files, done, key)
+    return rows.select(key, F.least(F.lit(start * rate), n).cast("long").alias("start_sample"), F.least(F.lit(end * rate), n).cast("long").alias("end_sample"))

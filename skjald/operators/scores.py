@@ -6,25 +6,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skjald.functions import paths, text
+from skjald.operators.reruns import sized
 
 
 def error_rates(rows: DataFrame, reference: Column, other: Column, by: list[str]) -> DataFrame:
     """Character and word error rates of each group: all edits over the references' length."""
     a, b = F.coalesce(reference, F.lit("")), F.coalesce(other, F.lit(""))
     rows = rows.select(*by, a.alias("a"), b.alias("b")).withColumn("wa", text.words(F.col("a"))).withColumn("wb", text.words(F.col("b")))
-    sums = rows.groupBy(*by).agg(F.sum(F.levenshtein("a", "b")).alias("ce"), F.sum(F.length("a")).alias("cn"), F.sum(text.word_distance(F.col("wa"), F.col("wb"))).alias("we"), F.sum(F.size("wa")).alias("wn"))
+    edits = lambda d: F.when(F.col("a") == F.col("b"), 0).otherwise(d)
+    sums = rows.groupBy(*by).agg(F.sum(edits(F.levenshtein("a", "b"))).alias("ce"), F.sum(F.length("a")).alias("cn"), F.sum(edits(text.word_distance(F.col("wa"), F.col("wb")))).alias("we"), F.sum(F.size("wa")).alias("wn"))
     rate = lambda e, n: F.when(F.col(n) > 0, F.col(e) / F.col(n))
     return sums.select(*by, rate("ce", "cn").alias("cer"), rate("we", "wn").alias("wer"))
 
 
 def grid(*dimensions: DataFrame) -> DataFrame:
-    """All combinations of small tables, such as models and data sets."""
+    """All combinations of small tables, such as models and data sets; each side is sent only if its counted rows are few."""
     first, *others = dimensions
     for other in others:
-        first = first.crossJoin(F.broadcast(other))
+        first = first.crossJoin(sized(other))
     return first
 
 
+def speaker(pair: Column, interlocutor: Column) -> Column:
+    """One name for a speaker: the pair and the place in it."""
+    return F.concat(pair.cast("string"), interlocutor)
+
+
+def labelled_rows(rows: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Columns that name rows, under other names."""
+    return rows.withColumnsRenamed(labels)
+
+
+def report(rows: DataFrame, flag: str) -> DataFrame:
+    """What a report on a flag prints: rows, those that have it, and their share in per cent."""
+    n = F.count_if(F.col(flag))
+    return rows.agg(F.count("*").alias("n"), n.alias("n_flagged"), (100 * n / F.count("*")).alias("per_cent"))
+
+
 def flattened(rows: DataFrame, key: str, metrics: str) -> DataFrame:
     """A row for each entry of a map of metrics."""
     return rows.select(key, F.explode(metrics).alias("metric", "value"))

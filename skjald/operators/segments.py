@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from skjald.functions import draws
 # Samples a second, of a window and from window to window, and shares of the threshold.
 RATE, WINDOW, STEP = 16_000, 4_000, 200
 SHARE, ABOVE = 0.89, 0.08
+#: Means that are nearer to a level than this are equal to it, in whatever order they were summed.
+NEAR = 1e-12
 
 
 def tiles(files: DataFrame, key: str, samples: str, seed: str, shortest: int = 48_000, longest: int = 240_000, crop: int = 60 * RATE) -> DataFrame:
@@ -69,48 +73,84 @@ def padded(segments: DataFrame, key: str = "file_id", pad: int = 2_000) -> DataF
     return segments.select(key, "seg_id", F.greatest(F.lit(0), start).cast("long").alias("start"), end.cast("long").alias("end"))
 
 
-def custom_segments_of(p: list[float], step: int = STEP, trigger: int = 320, silence: int = 23, longest: int = 1_200, shortest: int = 480, reach: int = 160) -> list[tuple[int, int]]:
-    """Segments of one file by a growing buffer of probabilities; one that is open at the end is dropped."""
-    from statistics import fmean, median
+def levels(probs: DataFrame, key: str = "file_id") -> DataFrame:
+    """By file, the level that speech exceeds: from the median of all its probabilities, the mean of the middle two where their number is even."""
+    return probs.groupBy(key).agg((F.lit(SHARE) * F.median("p") + ABOVE).alias("level"))
 
-    out, held, start, talking = [], [], 0, False
-    for i, value in enumerate(p):
+
+class SpeechBuffer:
+    """Custom segments of one file, whose frames come one by one; what is open at its end is dropped.
+
+    Before speech, the mean of the last `trigger` frames is held against the level. In speech
+    the buffer grows, and its mean without the last `silence` frames is; a segment of
+    `shortest` frames or more then ends, and one of more than `longest` is split."""
+
+    def __init__(self, level: float, step: int = STEP, trigger: int = 320, silence: int = 23, longest: int = 1_200, shortest: int = 480, reach: int = 160):
+        self.level, self.step, self.trigger, self.silence, self.longest, self.shortest, self.reach = level, step, trigger, silence, longest, shortest, reach
+        self.held: deque[float] = deque()
+        self.total = self.recent = 0.0  # sums of all frames held, and of the last `silence` of them
+        self.talking, self.frame = False, -1
+
+    def add(self, value: float) -> list[tuple[int, int]]:
+        """Takes the next frame; the segments that end with it."""
+        held = self.held
         held.append(value)
-        n = len(held)
-        if n < trigger:
-            continue
-        level = SHARE * median(held) + ABOVE
-        if not talking:
-            if fmean(held) > level:
-                talking, start = True, step * (i - n + 1)
-            else:
-                held.pop(0)
-        elif fmean(held[:-silence]) < level and n >= shortest:
-            if n > longest:
-                cut = split_point(held, silence, reach)
-                out += [(start, step * (i - (n - cut) - 1)), (step * (i - (n - cut) + 1), step * i)]
-            else:
-                out.append((start, step * i))
-            held, talking = [], False
-    return out
+        self.frame += 1
+        self.total += value
+        self.recent += value - (held[-1 - self.silence] if len(held) > self.silence else 0.0)
+        if len(held) < self.trigger:
+            return []
+        if not self.talking:
+            self.talking = self.total / len(held) - self.level > NEAR
+            if not self.talking:
+                self.total -= held.popleft()
+            return []
+        spoken = len(held) - self.silence
+        if len(held) < self.shortest or self.level - (self.total - self.recent) / spoken <= NEAR:
+            return []
+        return self._closed()
+
+    def _closed(self) -> list[tuple[int, int]]:
+        first, last = self.frame - len(self.held) + 1, self.frame
+        ends = [(first, last)]
+        if len(self.held) > self.longest:
+            middle = first - 2 + split_point(list(self.held), self.silence, self.reach)
+            ends = [(first, middle), (middle + 2, last)]
+        self.held.clear()
+        self.total = self.recent = 0.0
+        self.talking = False
+        return [(self.step * a, self.step * b) for a, b in ends]
 
 
 def split_point(held: list[float], stride: int = 23, reach: int = 160) -> int:
     """Frame near the middle at which speech is least likely; the first of equal ones."""
-    middle = len(held) / 2
-    best = min(range(int(middle - reach), int(middle + reach), stride), key=lambda k: held[k + stride])
+    middle = len(held) // 2
+    best = min(range(middle - reach, middle + reach, stride), key=lambda k: held[k + stride])
     return int(best + stride / 2)
 
 
 def custom_segments(probs: DataFrame, key: str = "file_id", **settings: int) -> DataFrame:
-    """custom_segments_of() for each file: key, seg_id, start and end. The buffer depends on all frames before, so that a file's frames meet in one group."""
-    kind = probs.schema[key].dataType.simpleString()
+    """SpeechBuffer's segments of each file: key, seg_id, start and end.
 
-    def run(frames: pd.DataFrame) -> pd.DataFrame:
-        found = custom_segments_of(frames.sort_values("i")["p"].tolist(), **settings)
-        return pd.DataFrame({key: [frames[key].iloc[0]] * len(found), "seg_id": range(len(found)), "start": [a for a, _ in found], "end": [b for _, b in found]})
+    A file's frames stream in order through one task, which holds the buffer alone."""
+    kind = probs.schema[key].dataType.simpleString()
 
-    return probs.select(key, "i", "p").groupBy(key).applyInPandas(run, f"{key} {kind}, seg_id long, start long, end long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, buffer, number = None, None, 0
+        for batch in batches:
+            found = []
+            for file, level, value in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if buffer is None or file != name:
+                    name, buffer, number = file, SpeechBuffer(level, **settings), 0
+                for start, end in buffer.add(value):
+                    found.append((file, number, start, end))
+                    number += 1
+            files, *others = zip(*found, strict=True) if found else ((),) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(files, batch.schema.field(0).type), *(pa.array(x, pa.int64()) for x in others)], [key, "seg_id", "start", "end"])
+
+    rows = probs.filter(F.col("p").isNotNull() & F.col(key).isNotNull()).select(key, "i", "p")
+    rows = rows.join(levels(rows, key), key).select(key, "i", "level", "p").repartition(key).sortWithinPartitions(key, "i")
+    return rows.mapInArrow(run, f"{key} {kind}, seg_id long, start long, end long")
 
 
 def frame_probabilities(audio: DataFrame, predict: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:

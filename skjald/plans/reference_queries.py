@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skjald.functions import draws, paths, text
 from skjald.operators import fingerprints, manifests, reruns, scores, segments
-from skjald.sources import readers
+from skjald.sources import readers, shared, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,15 +138,6 @@ def F06_clean_basic(spark, d):
     return read(spark, d, "documents").select("doc_id", text.clean_basic(F.col("text")).alias("cleaned"))
 
 
-TALK = r"""lower(regexp_replace(regexp_replace(translate(regexp_replace(translate(translate(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
- 'xx*', '', 'g'), '\([^)]*\)', '', 'g'), '[(\[].*?[)\]]', '', 'g'), 'host', '', 'g'), '.,?:;!»«''"→↗&><)“”', ''), 'íóàäö', 'ioaææ'), '%', ' procent', 'g'), '-—–/', '    '), '\r?\n', ' ', 'g'), ' +', ' ', 'g'))"""
-
-
-@query(f"SELECT conv_id, turn, {TALK} AS cleaned FROM conversations")
-def F07_clean_conversational(spark, d):
-    return read(spark, d, "conversations").select("conv_id", "turn", text.clean_talk(F.col("text"), numbers=False).alias("cleaned"))
-
-
 @query("SELECT doc_id, array_to_string(regexp_extract_all(text, '[0-9]+'), ',') AS digits, regexp_matches(text, '[0-9]+') AS has_number FROM documents")
 def F10_F13_digits_extract(spark, d):
     return read(spark, d, "documents").select("doc_id", F.array_join(text.digit_runs(F.col("text")), ",").alias("digits"), text.has_number(F.col("text")).alias("has_number"))
@@ -157,11 +148,44 @@ def A16_unique_digits(spark, d):
     return read(spark, d, "documents").select(F.explode(text.digit_runs(F.col("text"))).alias("digits")).distinct()
 
 
-@query()
+def _small_sql(n):
+    units, tens = "['" + "','".join(text.UNITS) + "']", "['" + "','".join(text.TENS) + "']"
+    return f"CASE WHEN {n} < 20 THEN {units}[{n} + 1] ELSE CASE WHEN {n} % 10 > 0 THEN {units}[{n} % 10 + 1] || 'og' ELSE '' END || {tens}[{n} // 10 + 1] END"
+
+
+def _number_sql(n, sizes=((1_000_000, "en million", "millioner"), (1000, "et tusind", "tusind"), (100, "et hundrede", "hundrede"))):
+    """Danish words of a whole number below a billion."""
+    if not sizes:
+        return _small_sql(n)
+    (size, one, many), rest = sizes[0], f"({n} % {sizes[0][0]})"
+    count = f"({n} // {size})"
+    head = f"CASE WHEN {count} = 1 THEN '{one}' ELSE ({_number_sql(count, sizes[1:] if size > 100 else ())}) || ' {many}' END"
+    tail = f"CASE WHEN {rest} = 0 THEN '' ELSE CASE WHEN {rest} < 100 THEN ' og ' ELSE ' ' END || ({_number_sql(rest, sizes[1:])}) END"
+    return f"CASE WHEN {n} < {size} THEN ({_number_sql(n, sizes[1:])}) ELSE ({head}) || ({tail}) END"
+
+
+def _spelt_sql(c):
+    """The text `c` with its runs of digits in words."""
+    digits = "['" + "','".join(text.UNITS[:10]) + "']"
+    one = f"CASE WHEN length(x.d) > 9 THEN array_to_string(list_transform(string_split(x.d, ''), lambda y: {digits}[CAST(y AS INT) + 1]), ' ') ELSE {_number_sql('x.n')} END"
+    runs = f"list_transform(list_transform(regexp_extract_all({c}, '[0-9]+'), lambda z: {{'d': z, 'n': CAST(right(z, 9) AS BIGINT)}}), lambda x: {one})"
+    return f"array_to_string(list_transform(list_zip(string_split_regex({c}, '[0-9]+'), {runs}), lambda p: p[1] || coalesce(p[2], '')), '')"
+
+
+@query(f"SELECT doc_id, {_spelt_sql('text')} AS spelt FROM documents")
 def F09_numbers_to_words(spark, d):
     return read(spark, d, "documents").select("doc_id", text.spell_numbers(F.col("text")).alias("spelt"))
 
 
+TALK = r"""regexp_replace(translate(regexp_replace(translate(translate(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
+ 'xx*', '', 'g'), '\([^)]*\)', '', 'g'), '[(\[].*?[)\]]', '', 'g'), 'host', '', 'g'), '.,?:;!»«''"→↗&><)“”', ''), 'íóàäö', 'ioaææ'), '%', ' procent', 'g'), '-—–/', '    '), '\r?\n', ' ', 'g')"""
+
+
+@query(f"SELECT conv_id, turn, lower(regexp_replace({_spelt_sql('t')}, ' +', ' ', 'g')) AS cleaned FROM (SELECT conv_id, turn, {TALK} AS t FROM conversations)")
+def F07_clean_conversational(spark, d):
+    return read(spark, d, "conversations").select("conv_id", "turn", text.clean_talk(F.col("text")).alias("cleaned"))
+
+
 @query(f"SELECT doc_id, NOT regexp_matches(c, '[^ a-zæøåéü]') AS in_vocabulary, regexp_extract(c, '[^ a-zæøåéü]', 0) AS first_oov FROM (SELECT doc_id, {BASIC} AS c FROM documents)")
 def F11_F12_vocabulary(spark, d):
     rows = read(spark, d, "documents").select("doc_id", text.clean_basic(F.col("text")).alias("c"))
@@ -222,9 +246,15 @@ def P08_P17_P18_utterance_filter(spark, d):
 right(url, 36) AS tail, array_to_string(string_split(url, '/')[4:-2], '/') AS inner FROM pages""")
 def F15_F18_path_fields(spark, d):
     url = F.col("url")
-    parts = F.split(url, "/")
-    inner = F.array_join(F.slice(parts, 4, F.size(parts) - 4), "/")
-    return read(spark, d, "pages").select("page_id", paths.basename(url).alias("base"), paths.parent(url).alias("folder"), paths.depth(url).alias("depth"), paths.with_suffix(url, ".tsv").alias("renamed"), paths.id_tail(url).alias("tail"), inner.alias("inner"))
+    return read(spark, d, "pages").select("page_id", paths.basename(url).alias("base"), paths.parent(url).alias("folder"), paths.depth(url).alias("depth"), paths.with_suffix(url, ".tsv").alias("renamed"), paths.id_tail(url).alias("tail"), paths.inner_path(url, 4).alias("inner"))
+
+
+@query("SELECT doc_id, '/a/' || lang || '/' || (2000 + doc_id % 20) || '/' || source || '.wav' AS at, 'https://x/' || doc_id AS link, lang || '_' || source || '_' || doc_id || '.wav' AS utterance, CAST(CAST(n_chars AS INT) AS VARCHAR) AS whole FROM documents")
+def F16_F22_F23_names(spark, d):
+    rows = read(spark, d, "documents")
+    year = (2000 + F.col("doc_id") % 20).cast("string")
+    file = F.concat("source", F.when(F.col("doc_id") % 2 == 0, ".mp3").otherwise(""))
+    return rows.select("doc_id", paths.audio_path("/a", F.col("lang"), year, file).alias("at"), paths.link("https://x/", F.col("doc_id").cast("string")).alias("link"), paths.utterance_name(F.col("lang"), F.col("source"), F.col("doc_id")).alias("utterance"), text.whole_string(F.col("n_chars").cast("double")).alias("whole"))
 
 
 LINES = "SELECT page_id, CASE page_id % 5 WHEN 0 THEN '//' WHEN 1 THEN '/' WHEN 2 THEN 'a///' WHEN 3 THEN 'manifest/' ELSE '' END || regexp_replace(url, '^https?://', '') || chr(9) || page_id AS value FROM pages"
@@ -304,7 +334,20 @@ def W04_W05_vad_segments(spark, d):
     return segments.padded(segments.voice_segments(_probs(spark, d), back=3, bridge=2, shortest=800), pad=100)
 
 
-@query()
+# A frame of each file is taken at a time; `a` is where its buffer begins.
+CUSTOM = f"""WITH RECURSIVE p AS ({PROBS}), q AS (SELECT *, sum(p) OVER (PARTITION BY file_id ORDER BY i) AS s FROM p),
+f AS (SELECT file_id, list(p ORDER BY i) AS p, list(s ORDER BY i) AS s, 0.89 * median(p) + 0.08 AS level, count(*) AS n FROM q GROUP BY 1),
+r AS (SELECT file_id, -1 AS i, 0 AS a, false AS talking, CAST([] AS STRUCT(x BIGINT, y BIGINT)[]) AS done FROM f UNION ALL
+SELECT file_id, i, CASE WHEN size < 8 THEN a WHEN NOT talking THEN CASE WHEN loud THEN a ELSE a + 1 END WHEN ends THEN i + 1 ELSE a END,
+CASE WHEN size < 8 THEN talking WHEN NOT talking THEN loud ELSE NOT ends END,
+CASE WHEN size < 8 OR NOT talking OR NOT ends THEN [] WHEN size > 24 THEN [{{'x': a, 'y': a + cut - 2}}, {{'x': a + cut, 'y': i}}] ELSE [{{'x': a, 'y': i}}] END FROM (
+SELECT *, CAST(floor(list_min(list_transform(range(size // 2 - 4, size // 2 + 4, 2), lambda k: {{'v': p[a + k + 3], 'k': k}})).k + 1) AS BIGINT) AS cut,
+(s[i + 1] - coalesce(s[a], 0)) / size - level > 1e-12 AS loud, size >= 10 AND level - (s[i - 1] - coalesce(s[a], 0)) / (size - 2) > 1e-12 AS ends FROM (
+SELECT file_id, i + 1 AS i, a, talking, i + 2 - a AS size, p, s, level FROM r JOIN f USING (file_id) WHERE i + 1 < n)))
+SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY i, d.x) - 1 AS seg_id, d.x * 200 AS start, d.y * 200 AS "end" FROM (SELECT file_id, i, unnest(done) AS d FROM r)"""
+
+
+@query(CUSTOM)
 def W06_W07_custom_segments(spark, d):
     return segments.custom_segments(_probs(spark, d), trigger=8, silence=2, longest=24, shortest=10, reach=4)
 
@@ -318,8 +361,8 @@ def W10_snippet_intervals(spark, d):
 TOKENS = "string_split(text, ' ')"
 
 
-def _index(spark, d):
-    return fingerprints.index(read(spark, d, "benchmark"), "item_id", F.split("text", " "))
+def _index(spark, d, digest=F.xxhash64):
+    return fingerprints.index(read(spark, d, "benchmark"), "item_id", F.split("text", " "), digest=digest)
 
 
 INDEXED = f"SELECT item_id AS song_id, i - 1 AS \"offset\", array_to_string({TOKENS}[i:i + 2], ' ') AS hash FROM (SELECT *, unnest(range(1, len({TOKENS}) - 1)) AS i FROM benchmark)"
@@ -332,9 +375,7 @@ SELECT query_id, song_id, aligned, aligned / total AS confidence, CAST(row_numbe
 
 @query(f"SELECT song_id, CAST(\"offset\" AS INT) AS \"offset\", md5(hash) AS hash FROM ({INDEXED})")
 def D04_fingerprint_index(spark, d):
-    rows = read(spark, d, "benchmark").select("item_id", F.split("text", " ").alias("t"))
-    runs = F.transform(F.sequence(F.lit(1), F.size("t") - 2), lambda i: F.md5(F.array_join(F.slice("t", i, 3), " ")))
-    return rows.filter(F.size("t") >= 3).select(F.col("item_id").alias("song_id"), F.posexplode(runs).alias("offset", "hash"))
+    return _index(spark, d, F.md5)
 
 
 def _matches(spark, d):
@@ -352,6 +393,45 @@ def D06_mark_duplicates(spark, d):
     return fingerprints.duplicates(_matches(spark, d), 0.3)
 
 
+# Two indexes, of even and of odd items, named by channel and years.
+BY_INDEX = MATCHED.replace(f"x AS ({INDEXED})", f"x AS (SELECT *, CASE WHEN song_id % 2 = 0 THEN 'p1_2014_2015' ELSE 'p1_2016' END AS name FROM ({INDEXED}))").replace("SELECT query_id, song_id,", "SELECT query_id, name, song_id,").replace("GROUP BY 1, 2, 3)", "GROUP BY 1, 2, 3, 4)").replace("GROUP BY 1, 2)\nSELECT", "GROUP BY 1, 2, 3)\nSELECT").replace("PARTITION BY query_id", "PARTITION BY query_id, name")
+
+
+def _indexes(spark, d):
+    return _index(spark, d).withColumn("name", F.when(F.col("song_id") % 2 == 0, "p1_2014_2015").otherwise("p1_2016"))
+
+
+@query(BY_INDEX)
+def D05_search_indexes(spark, d):
+    asked = fingerprints.index(read(spark, d, "documents"), "doc_id", F.split("text", " "))
+    names = fingerprints.index_names(spark.createDataFrame([("p1", 2015), ("p1", 2016)], "channel string, year int"), spark.createDataFrame([("p1_2014_2015",), ("p1_2016",), ("r24_2015",)], "name string"))
+    return fingerprints.match_indexes(asked, _indexes(spark, d), names)
+
+
+def _listed_sql(name):
+    short = name.replace("p1_", "")
+    return f"m{short} AS (SELECT query_id, array_to_string(list(song_id ORDER BY rank), ',') AS m, array_to_string(list(CAST(round(confidence * 1e6) AS BIGINT) ORDER BY rank), ',') AS c FROM y WHERE name = '{name}' GROUP BY 1)"
+
+
+@query(f"""WITH y AS ({BY_INDEX}), {_listed_sql('p1_2014_2015')}, {_listed_sql('p1_2016')}
+SELECT doc_id, coalesce(a.m, '') AS matched_files_p1_2014_2015, coalesce(a.c, '') AS confidences_p1_2014_2015, coalesce(b.m, '') AS matched_files_p1_2016, coalesce(b.c, '') AS confidences_p1_2016, len({TOKENS}) < 3 AS error
+FROM documents LEFT JOIN m2014_2015 a ON doc_id = a.query_id LEFT JOIN m2016 b ON doc_id = b.query_id""")
+def J08_find_duplicates_wide(spark, d):
+    rows = read(spark, d, "documents")
+    asked = fingerprints.index(rows, "doc_id", F.split("text", " "))
+    wide = fingerprints.find_duplicates(rows.select("doc_id"), "doc_id", asked, _indexes(spark, d), ["p1_2014_2015", "p1_2016"])
+    shown = lambda c: F.array_join(F.transform(c, lambda x: F.round(x * 1e6).cast("long").cast("string")), ",").alias(c)
+    plain = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    names = ["p1_2014_2015", "p1_2016"]
+    return wide.select("doc_id", *(plain(f"matched_files_{n}") for n in names), *(shown(f"confidences_{n}") for n in names), F.col("error_p1_2016").alias("error"))
+
+
+@query("SELECT channel, year, name FROM (VALUES ('p1', 2014, 'p1_2014_2015'), ('p1', 2016, 'p1_2016'), ('r24', 2015, 'r24_2015')) AS t(channel, year, name)")
+def F28_index_names(spark, d):
+    asked = spark.createDataFrame([("p1", 2014), ("p1", 2016), ("r24", 2015), ("r24", 1999)], "channel string, year int")
+    return fingerprints.index_names(asked, spark.createDataFrame([("p1_2014_2015",), ("p1_2016",), ("r24_2015",)], "name string"))
+
+
 @query("""SELECT item_id, part, min(doc_id) AS first_match, count(*) AS n_matches FROM (SELECT item_id, text AS part FROM benchmark) JOIN documents ON contains(text, part) GROUP BY 1, 2""")
 def J07_match_lookup(spark, d):
     parts = read(spark, d, "benchmark").select("item_id", F.col("text").alias("part"))
@@ -373,9 +453,104 @@ def P20_output_collision(spark, d):
     return manifests.collisions(read(spark, d, "pages").select(F.element_at(F.split("url", "/"), 3).alias("path")), "path")
 
 
+def _written(spark, name, write):
+    """What `write` puts at a fresh place of the shared folder, which is given back."""
+    write(at := shared.shared_path(spark, name))
+    return at
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")
 def S01_S02_jsonl_unnest(spark, d):
-    return read(spark, d, "events").select("event_id", F.from_json("props", "k int").alias("metadata")).select("metadata.*", "event_id")
+    rows = read(spark, d, "events").select("event_id", F.from_json("props", "k int").alias("metadata"))
+    return readers.json_lines(spark, _written(spark, "jsonl", rows.write.json), "event_id long, metadata struct<k: int>", "metadata")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 3 = 0 THEN 'rerun' ELSE 'other' END AS status FROM customer")
+def S04_S05_K01_status_file(spark, d):
+    rows = read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 3 == 0, "rerun").otherwise("other").alias("status"))
+    return readers.status(spark, _written(spark, "status", lambda at: writers.delimited(rows, at, sep="\t")), skip_first=True)
+
+
+@query("SELECT o_orderkey, o_orderpriority FROM orders")
+def S03_K01_delimited(spark, d):
+    at = _written(spark, "csv", lambda at: writers.delimited(read(spark, d, "orders").select("o_orderkey", "o_orderpriority"), at))
+    return readers.delimited(spark, at, "o_orderkey long, o_orderpriority string")
+
+
+@query("SELECT value FROM (SELECT '/root' AS value UNION ALL SELECT url || chr(9) || page_id FROM pages)")
+def S06_S07_K03_K04_manifest(spark, d):
+    rows = read(spark, d, "pages").select(F.concat("url", F.lit("\t"), F.col("page_id").cast("string")).alias("value"))
+    return readers.lines(spark, _written(spark, "manifest", lambda at: writers.manifest(rows, at, "/root")))
+
+
+@query("SELECT CAST(c_nationkey AS VARCHAR) AS folder, c_custkey || '.wav' || chr(9) || (c_custkey * 2) AS value FROM customer")
+def K03_segment_tables(spark, d):
+    rows = read(spark, d, "customer").select("c_nationkey", F.col("c_custkey").alias("seg_id"), F.lit(0).cast("long").alias("start_sample"), (F.col("c_custkey") * 2).alias("end_sample"))
+    at = _written(spark, "segments", lambda at: writers.segment_tables(manifests.segment_lines(rows, "c_nationkey"), at, "c_nationkey"))
+    return readers.lines(spark, at).select(F.col("c_nationkey").cast("string").alias("folder"), "value")
+
+
+@query("""WITH b AS (SELECT item_id, replace(text, chr(10), ' ') AS text FROM benchmark)
+SELECT 'tsv' AS kind, 'x-' || item_id || '.wav' || chr(9) || length(text) AS value FROM b UNION ALL SELECT 'wrd', text FROM b UNION ALL SELECT 'ltr', array_to_string(string_split(replace(text, ' ', '|'), ''), ' ') FROM b""")
+def K05_triple_files(spark, d):
+    rows = read(spark, d, "benchmark").select(F.concat(F.lit("x-"), "item_id", F.lit(".wav")).alias("path"), F.length("text").alias("n"), F.translate("text", "\n", " ").alias("text"))
+    return readers.lines(spark, _written(spark, "triples", lambda at: writers.triples(manifests.triples(rows, "path", "n", "text"), at))).select("kind", "value")
+
+
+@query("SELECT doc_id, 16000 AS rate, CAST((octet_length(encode(text)) + 1) // 2 AS BIGINT) AS n_samples, md5(text || CASE WHEN octet_length(encode(text)) % 2 = 1 THEN ' ' ELSE '' END) AS samples FROM documents")
+def S12_F40_K06_recordings(spark, d):
+    raw = F.concat(F.encode("text", "utf-8"), F.when(F.octet_length("text") % 2 == 1, F.encode(F.lit(" "), "utf-8")).otherwise(F.encode(F.lit(""), "utf-8")))
+    rows = read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), raw.alias("samples"))
+    return readers.decoded(writers.wav_files(rows), readers.speech).select(F.col("path").cast("long").alias("doc_id"), "rate", "n_samples", F.md5("samples").alias("samples"))
+
+
+@query(f"SELECT song_id, CAST(\"offset\" AS INT) AS \"offset\", hash FROM ({{INDEXED}}) WHERE song_id % 3 = 1".replace("{INDEXED}", """SELECT item_id AS song_id, i - 1 AS "offset", md5(array_to_string(string_split(text, ' ')[i:i + 2], ' ')) AS hash FROM (SELECT *, unnest(range(1, len(string_split(text, ' ')) - 1)) AS i FROM benchmark)"""))
+def K08_S11_D02_index_folders(spark, d):
+    rows = _index(spark, d, F.md5).withColumn("channel", F.concat(F.lit("c"), F.col("song_id") % 3))
+    at = _written(spark, "index", lambda at: writers.index(rows, at, ["channel"]))
+    return spark.read.option("basePath", at).parquet(f"{at}/channel=c1*").select("song_id", "offset", "hash")
+
+
+@query("SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS n FROM documents WHERE lang IN ('en', 'de') AND row_number_of NOT IN (3, 5)".replace("row_number_of", "doc_id"))
+def P10_P14_lists(spark, d):
+    rows = reruns.without_rows(reruns.only_months(read(spark, d, "documents"), "lang", ["en", "de"]), "doc_id", [3, 5])
+    return manifests.numbered(rows.select("doc_id", "lang"), "lang", "doc_id").select("doc_id", F.col("seg_id").alias("n"))
+
+
+@query("SELECT doc_id FROM documents WHERE lang <> 'en'")
+def P14_all_but_one(spark, d):
+    return reruns.only_months(read(spark, d, "documents"), "lang", ["en"], exclude=True).select("doc_id")
+
+
+@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, lang, quality FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id")
+def J09_U03_zip(spark, d):
+    return reruns.zipped(read(spark, d, "documents").select("doc_id", "lang"), read(spark, d, "labels").select("doc_id", "quality"), "doc_id")
+
+
+@query("SELECT doc_id, least(180, n_chars) AS start_sample, least(240, n_chars) AS end_sample FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def D08_pending_snippets(spark, d):
+    files = read(spark, d, "documents").select("doc_id", F.col("n_chars").alias("n"))
+    return reruns.snippets(files, read(spark, d, "labels"), "doc_id", "n", 180, 240, rate=1)
+
+
+@query("SELECT lang, count(*) AS sentences, count(DISTINCT (n_chars % 7) || source) AS speakers, round_even(CAST(sum(n_chars) AS DOUBLE) / 3600, 2) AS hours FROM documents GROUP BY lang")
+def F27_speaker_names(spark, d):
+    return scores.corpus_summary(read(spark, d, "documents"), "lang", scores.speaker(F.col("n_chars") % 7, F.col("source")), F.col("n_chars"))
+
+
+@query("SELECT n_name AS dataset, n_regionkey AS model FROM nation")
+def P03_row_labels(spark, d):
+    return scores.labelled_rows(read(spark, d, "nation").select("n_name", "n_regionkey"), {"n_name": "dataset", "n_regionkey": "model"})
+
+
+@query(f"SELECT count(*) AS n, count_if(is_doms_rerun) AS n_flagged, 100 * count_if(is_doms_rerun) / count(*) AS per_cent FROM ({FLAGGED})")
+def K10_flag_report(spark, d):
+    return scores.report(_flagged(spark, d), "is_doms_rerun")
+
+
+@query("SELECT doc_id, text FROM documents")
+def F24_bytes_decode(spark, d):
+    return read(spark, d, "documents").select("doc_id", readers.utf8(F.encode("text", "utf-8")).alias("text"))
 
 
 @query("SELECT CAST(ts AS DATE) AS day, round(avg(value) FILTER (event_type = 'click'), 6) AS click, round(avg(value) FILTER (event_type = 'view'), 6) AS view, count(*) AS n FROM events GROUP BY 1")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import wave
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -40,25 +43,57 @@ def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 def recordings(spark: SparkSession, root: str, decode: Callable[[bytes], tuple[int, bytes]], pattern: str = "*.wav") -> DataFrame:
     """path, rate, n_samples and samples (signed 16-bit, mono) of files; `decode` gives rate and samples of one."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return decoded(files, decode)
+
+
+def decoded(files: DataFrame, decode: Callable[[bytes], tuple[int, bytes]]) -> DataFrame:
+    """The same of a table of path and content."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [decode(x) for x in batch["content"]]
             yield pd.DataFrame({"path": batch["path"], "rate": [r for r, _ in found], "n_samples": [len(s) // 2 for _, s in found], "samples": [s for _, s in found]})
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return files.select("path", "content").mapInPandas(run, "path string, rate int, n_samples long, samples binary")
 
 
 def wav(content: bytes) -> tuple[int, bytes]:
-    """Rate and samples of a mono 16-bit WAV file."""
-    import io
-    import wave
-
+    """Rate and signed 16-bit samples of a WAV file of 8, 16, 24 or 32 bits; channels are averaged."""
     with wave.open(io.BytesIO(content)) as file:
-        if (file.getnchannels(), file.getsampwidth()) != (1, 2):
-            raise ValueError("16-bit mono is expected")
-        return file.getframerate(), file.readframes(file.getnframes())
+        channels, size, rate, raw = file.getnchannels(), file.getsampwidth(), file.getframerate(), file.readframes(file.getnframes())
+    if (channels, size) == (1, 2):
+        return rate, raw
+    if size == 1:
+        values = (np.frombuffer(raw, np.uint8).astype(np.int64) - 128) << 8
+    elif size == 2:
+        values = np.frombuffer(raw, "<i2").astype(np.int64)
+    else:  # the upper two bytes of each sample
+        values = np.frombuffer(raw, np.uint8).reshape(-1, size)[:, -2:].copy().view("<i2").ravel().astype(np.int64)
+    mono = np.rint(values.reshape(-1, channels).mean(1)).astype("<i2")
+    return rate, mono.tobytes()
+
+
+def speech(content: bytes, rate: int = 16_000) -> tuple[int, bytes]:
+    """A WAV file's samples at 16 kHz: the mean of what a new sample stands for where there are more old ones, else between its neighbours."""
+    old, raw = wav(content)
+    if old == rate:
+        return old, raw
+    x = np.frombuffer(raw, "<i2").astype(np.float64)
+    n = -(-len(x) * rate // old)
+    if old > rate:
+        upto = np.append(0.0, np.cumsum(x))
+        edges = np.interp(np.arange(n + 1) * old / rate, np.arange(len(x) + 1), upto)
+        wide = np.maximum(np.diff(np.minimum(np.arange(n + 1) * old / rate, len(x))), 1e-9)
+        y = np.diff(edges) / wide
+    else:
+        y = np.interp(np.arange(n) * old / rate, np.arange(len(x)), x) if len(x) else x
+    return rate, np.clip(np.rint(y), -32768, 32767).astype("<i2").tobytes()
+
+
+def utf8(content: Column) -> Column:
+    """Bytes as text."""
+    return F.decode(content, "utf-8")
 
 
 def literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

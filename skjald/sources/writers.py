@@ -21,19 +21,19 @@ def segment_tables(lines: DataFrame, to: str, key: str) -> None:
 
 
 def manifest(lines: DataFrame, to: str, root: str) -> None:
-    """One text file: the root, then all lines in order. Manifests are read whole by trainers, and so one task writes them."""
+    """Text files whose names are in the order of their lines: the root, then all lines in order."""
     head = lines.sparkSession.createDataFrame([(0, root)], "o int, value string")
     rows = head.unionByName(lines.select(F.lit(1).alias("o"), F.col(lines.columns[0]).alias("value")))
-    rows.coalesce(1).sortWithinPartitions("o", "value").select("value").write.text(to)
+    rows.repartitionByRange("o", "value").sortWithinPartitions("o", "value").select("value").write.text(to)
 
 
 def triples(rows: DataFrame, to: str) -> None:
-    """tsv, wrd and ltr lines in one order, that of tsv, in files of the same cuts."""
-    placed = rows.repartitionByRange("tsv").sortWithinPartitions("tsv", "wrd")
-    placed.write.parquet(f"{to}/all")
-    again = rows.sparkSession.read.parquet(f"{to}/all")
-    for name in ("tsv", "wrd", "ltr"):
-        again.select(name).write.text(f"{to}/{name}")
+    """tsv, wrd and ltr lines in one order, that of tsv: folders kind=tsv and so on, whose files have the same cuts.
+
+    One job writes all three: each task its rows' lines, kind by kind."""
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("line")) for k in ("tsv", "wrd", "ltr")))).alias("x")
+    placed = rows.repartitionByRange("tsv", "wrd", "ltr").select("tsv", "wrd", "ltr", kinds).select("tsv", "wrd", "ltr", "x.kind", "x.line")
+    placed.sortWithinPartitions("kind", "tsv", "wrd", "ltr").select("kind", "line").write.partitionBy("kind").text(to)
 
 
 def wav_files(segments: DataFrame, rate: int = 16_000) -> DataFrame:
@@ -57,4 +57,4 @@ def wav_files(segments: DataFrame, rate: int = 16_000) -> DataFrame:
 
 def index(rows: DataFrame, to: str, by: list[str]) -> None:
     """A fingerprint index in folders such as channel and year, sorted by hash for pruning."""
-    rows.repartition(*by, F.pmod(F.col("hash"), F.lit(64))).sortWithinPartitions("hash").write.partitionBy(*by).mode("overwrite").parquet(to)
+    rows.repartition(*by, F.pmod(F.hash("hash"), F.lit(64))).sortWithinPartitions("hash").write.partitionBy(*by).mode("overwrite").parquet(to)

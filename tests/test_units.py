@@ -4,6 +4,7 @@ import io
 import random
 import wave
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,14 +109,90 @@ def test_voice_segments(spark):
     assert segments.padded(found).filter("start < 0 or end < start").count() == 0
 
 
+def plain_segments(p, trigger=320, silence=23, longest=1200, shortest=480, reach=160, step=200):
+    """The rules over slices of the whole list: a buffer is p[first:i + 1]."""
+    level = 0.89 * np.median(p) + 0.08
+    out, first, speech = [], 0, False
+    for i in range(len(p)):
+        size = i + 1 - first
+        if size < trigger:
+            continue
+        if not speech:
+            if np.mean(p[first : i + 1]) > level:
+                speech, start = True, first
+            else:
+                first += 1
+            continue
+        if np.mean(p[first : i + 1 - silence]) >= level or size < shortest:
+            continue
+        if size > longest:
+            tries = list(range(size // 2 - reach, size // 2 + reach, silence))
+            at = int(tries[int(np.argmin([p[first + k + silence] for k in tries]))] + silence / 2)
+            out += [(step * start, step * (i - (size - at) - 1)), (step * (i - (size - at) + 1), step * i)]
+        else:
+            out.append((step * start, step * i))
+        first, speech = i + 1, False
+    return out
+
+
 def test_custom_segments(spark):
-    assert segments.custom_segments_of([0.5] * 319) == []
-    speech = [0.0] * 300 + [1.0] * 700 + [0.0] * 900
-    rows = spark.createDataFrame([(1, i, p) for i, p in enumerate(speech)], "file_id long, i int, p double")
-    assert [(r.start, r.end) for r in segments.custom_segments(rows).orderBy("seg_id").collect()] == segments.custom_segments_of(speech)
+    rng = np.random.default_rng(7)
+    files = {}
+    for k in range(20):  # speech and silence of random lengths
+        p = np.concatenate([np.clip(rng.normal(rng.choice([0.15, 0.5, 0.85]), 0.15, rng.integers(100, 1500)), 0, 1) for _ in range(20)])[:6000]
+        files[k] = p.tolist()
+    files[20], files[21] = [0.5] * 319, [0.25] * 5000 + [1.0] * 1300 + [0.0] * 3500
+    rows = spark.createDataFrame([(k, i, x) for k, p in files.items() for i, x in enumerate(p)], "file_id long, i int, p double").repartition(5)
+    got = {k: [] for k in files}
+    for r in segments.segment("custom", rows).orderBy("file_id", "seg_id").collect():
+        assert r.seg_id == len(got[r.file_id])
+        got[r.file_id].append((r.start, r.end))
+    assert got == {k: plain_segments(p) for k, p in files.items()}
+    assert sum(map(len, got.values())) > 30 and got[21]
     with pytest.raises(ValueError):
-        segment = segments.segment("none", rows)
-        assert segment
+        segments.segment("none", rows)
+
+
+def test_searches_over_indexes(spark):
+    songs = spark.createDataFrame([(1, "a b c d e f"), (2, "x y z a b c d"), (3, "q r s t")], "k long, t string")
+    index = fingerprints.index(songs, "k", F.split("t", " "))
+    assert {(r.song_id, r.offset) for r in index.collect()} == {(1, 0), (1, 1), (1, 2), (1, 3), *((2, i) for i in range(5)), (3, 0), (3, 1)}
+    both = index.withColumn("name", F.lit("p1_2014_2015")).union(index.filter("song_id = 2").withColumn("name", F.lit("p1_2016")))
+    names = spark.createDataFrame([("p1_2014_2015",), ("p1_2016",)], "name string")
+    asked = spark.createDataFrame([("p1", 2015), ("p1", 2016), ("p1", 1999)], "channel string, year int")
+    assert {tuple(r) for r in fingerprints.index_names(asked, names).collect()} == {("p1", 2015, "p1_2014_2015"), ("p1", 2016, "p1_2016")}
+    with pytest.raises(Exception, match="several indexes"):
+        fingerprints.index_names(spark.createDataFrame([("p1", 201)], "channel string, year int"), names).collect()
+    wide = fingerprints.find_duplicates(songs.union(spark.createDataFrame([(9, "a")], songs.schema)), "k", index, both, ["p1_2014_2015", "p1_2016"])
+    rows = {r.k: r for r in wide.collect()}
+    assert rows[1].matched_files_p1_2014_2015 == [1, 2] and rows[1].confidences_p1_2014_2015 == [1.0, 0.5] and rows[1].matched_files_p1_2016 == [2]
+    assert rows[3].matched_files_p1_2016 == [] and not rows[3].error_p1_2016 and rows[9].error_p1_2016
+
+
+def test_first_match(spark):
+    texts = spark.createDataFrame([(1, "x one two three y"), (2, "xone two threey"), (3, "one three two"), (4, None), (5, "one two three")], "i long, t string")
+    parts = spark.createDataFrame([("one two three",), ("one two",), ("two",), ("none of it",), ("",)], "part string")
+    found = {r.part: (r.first_match, r.n_matches) for r in reruns.first_match(parts, texts, "t", "part", "i").collect()}
+    assert found == {"one two three": (1, 3), "one two": (1, 3), "two": (1, 4), "": (1, 4)}
+
+
+def test_speech_is_mono_at_16_khz():
+    def wav_of(channels, width, rate, raw):
+        out = io.BytesIO()
+        with wave.open(out, "wb") as file:
+            file.setnchannels(channels), file.setsampwidth(width), file.setframerate(rate)
+            file.writeframes(raw)
+        return out.getvalue()
+
+    x = (10_000 * np.sin(2 * np.pi * 200 * np.arange(44_100) / 44_100)).astype("<i2")
+    rate, raw = readers.speech(wav_of(2, 2, 44_100, np.repeat(x, 2).astype("<i2").tobytes()))
+    y = np.frombuffer(raw, "<i2")
+    assert (rate, len(y)) == (16_000, 16_000)
+    assert np.abs(y - 10_000 * np.sin(2 * np.pi * 200 * (np.arange(16_000) + 0.5) / 16_000)).max() < 200
+    up = np.frombuffer(readers.speech(wav_of(1, 1, 8_000, bytes([128, 192, 128])))[1], "<i2")
+    assert up.tolist() == [0, 8192, 16384, 8192, 0, 0]
+    assert readers.speech(wav_of(1, 3, 16_000, b"\x01\x02\x03"))[1] == b"\x02\x03"
+    assert readers.speech(wav_of(1, 2, 22_050, b""))[1] == b""
 
 
 def test_tiles_and_frames(spark):
@@ -168,7 +245,7 @@ def test_sources_and_sinks(spark, tmp_path):
     writers.manifest(spark.createDataFrame([("b",), ("a",)], "v string"), str(tmp_path / "man"), "/root")
     assert [r.value for r in readers.lines(spark, str(tmp_path / "man")).collect()] == ["/root", "a", "b"]
     writers.triples(spark.createDataFrame([("t1", "w", "l"), ("t0", "w0", "l0")], "tsv string, wrd string, ltr string"), str(tmp_path / "tri"))
-    assert [r.value for r in readers.lines(spark, str(tmp_path / "tri" / "wrd")).orderBy("value").collect()] == ["w", "w0"]
+    assert [r.value for r in readers.lines(spark, str(tmp_path / "tri" / "kind=wrd")).orderBy("value").collect()] == ["w", "w0"]
     writers.index(spark.createDataFrame([(1, 5, "p1", 2014)], "song_id long, hash long, channel string, year int"), str(tmp_path / "ix"), ["channel", "year"])
     assert spark.read.parquet(str(tmp_path / "ix")).filter("year = 2014").count() == 1
     writers.segment_tables(spark.createDataFrame([("u", "0.wav\t5")], "k string, line string"), str(tmp_path / "seg"), "k")
