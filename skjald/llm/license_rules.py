@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 
-ANCHORS = ["licen", "copyright", "spdx", "redistribut", "warrant", "permission", "gpl", "public domain", "copyleft"]
+ANCHORS = ["licen", "copyright", "spdx", "redistribut", "warrant", "permission", "gpl", "domain", "copyleft"]
 CONFIDENCE = {1: 1.0, 2: 0.95, 3: 0.9, 4: 0.75, 5: 0.4}
 
 #: label, SPDX identifiers (patterns), names (patterns, without the word license).
@@ -138,11 +138,11 @@ NOTICES = [
     ("zlib", 2, "warrant", r"this software is provided as is without any express or implied warranty"),
     ("zlib", 2, "permission", r"permission is granted to anyone to use this software for any purpose"),
     ("zlib", 2, "redistribut", r"the origin of this software must not be misrepresented"),
-    ("unlicense", 2, "public domain", r"this is free and unencumbered software released into the public domain"),
-    ("unlicense", 2, "public domain", r"dedicate any and all copyright interest in the software to the public domain"),
+    ("unlicense", 2, "domain", r"this is free and unencumbered software released into the public domain"),
+    ("unlicense", 2, "domain", r"dedicate any and all copyright interest in the software to the public domain"),
     ("wtfpl", 2, "licen", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document"),
     ("cc0", 2, "copyright", r"waived all copyright and related or neighbou?ring rights"),
-    ("cc0", 2, "public domain", r"creative ?commons org publicdomain zero"),
+    ("cc0", 2, "domain", r"creative ?commons org publicdomain zero"),
     ("cc-by", 2, "licen", r"creative ?commons org licenses by [1-4] [05]"),
     ("cc-by-sa", 2, "licen", r"creative ?commons org licenses by sa [1-4] [05]"),
     ("cc-by-nc", 2, "licen", r"creative ?commons org licenses by nc [1-4] [05]"),
@@ -158,13 +158,188 @@ NOTICES = [
     ("json", 2, "copyright", r"the software shall be used for good not evil"),
     ("ncsa", 2, "permission", r"to deal with the software without restriction"),
     ("ms-pl", 2, "licen", r"if you bring a patent claim against any contributor over patents"),
-    ("public-domain", 3, "public domain", r"(?:released|placed|dedicated|hereby placed) (?:in|into|to) the public domain"),
-    ("public-domain", 4, "public domain", r"(?:is|are|in the) public domain"),
+    ("public-domain", 3, "domain", r"(?:released|placed|dedicated|hereby placed) (?:in|into|to) the public domain"),
+    ("public-domain", 4, "domain", r"(?:is|are|in the) public domain"),
     ("proprietary", 3, "licen", r"this software is licensed not sold"),
     ("proprietary", 3, "permission", r"may not be (?:copied|reproduced|distributed|disclosed) .{0,60}?without (?:the )?(?:prior |express )*written permission"),
     ("proprietary", 4, "copyright", r"all rights reserved"),
     ("proprietary", 4, "licen", r"end user license agreement"),
     ("proprietary", 4, "licen", r"unauthorized copying of this file"),
+    # MIT, X11 and their kin.
+    ("mit", 2, "licen", r"(?:released|available|distributed|licensed|published) under the (?:terms of the )?mit licen[sc]e"),
+    ("mit", 2, "licen", r"opensource org licenses mit"),
+    ("mit", 2, "copyright", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("mit", 2, "warrant", r"the software is provided as is without warranty of any kind express or implied including but not limited to"),
+    ("mit", 3, "licen", r"see (?:the )?licen[sc]e(?: file| txt| md)? for the full mit"),
+    ("mit", 4, "licen", r"dual licensed under (?:the )?mit(?: and| or)?"),
+    ("mit-0", 2, "permission", r"to permit persons to whom the software is furnished to do so the software is provided as is"),
+    ("x11", 2, "permission", r"the name of the x consortium shall not be used in advertising or otherwise"),
+    ("x11", 2, "copyright", r"except as contained in this notice the names? of .{1,80}? shall not be used in advertising"),
+    ("isc", 2, "warrant", r"the author disclaims all warranties with regard to this software including all implied warranties"),
+    ("0bsd", 2, "permission", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted the software is provided"),
+    ("ntp", 2, "permission", r"provided that the above copyright notice appears in all copies .{0,200}? the name .{1,60}? not be used in advertising or publicity"),
+    ("smlnj", 2, "licen", r"standard ml of new jersey copyright notice license and disclaimer"),
+    ("hpnd", 2, "permission", r"makes no representations about the suitability of this software for any purpose"),
+    ("unicode", 2, "permission", r"a copy of the unicode data files and any associated documentation"),
+    ("unicode", 2, "copyright", r"unicode org copyright html"),
+    ("icu", 2, "permission", r"provided that the above copyright notice s and this permission notice appear in all copies of the software"),
+    ("curl", 2, "permission", r"provided that the above copyright notice and this permission notice appear in all copies the software is provided as is without warranty .{0,300}? third party rights"),
+    ("vim", 2, "permission", r"vim is charityware"),
+    ("mit-cmu", 2, "permission", r"the name of cmu and the regents of the university of california not be used in advertising"),
+    # BSD and what follows it.
+    ("bsd", 2, "licen", r"use of this source code is governed by a bsd style licen[sc]e"),
+    ("bsd", 2, "licen", r"(?:released|available|distributed|licensed) under the (?:terms of the )?(?:[0-9a-z]+ )?bsd licen[sc]e"),
+    ("bsd", 2, "redistribut", r"this list of conditions and the following disclaimer in the documentation and or other materials"),
+    ("bsd", 2, "warrant", r"this software is provided by the copyright holders and contributors as is and any express or implied warranties"),
+    ("bsd", 2, "copyright", r"in no event shall the (?:copyright (?:owner|holder)s?|regents|authors?) (?:or contributors )?be liable for any direct indirect incidental"),
+    ("bsd", 2, "licen", r"opensource org licenses bsd license"),
+    ("bsd-2-clause", 2, "licen", r"opensource org licenses bsd 2 clause"),
+    ("bsd-3-clause", 2, "licen", r"opensource org licenses bsd 3 clause"),
+    ("bsd-3-clause", 2, "permission", r"the name of the author may not be used to endorse or promote products derived from this software without"),
+    ("bsd-3-clause", 2, "copyright", r"copyright (?:c )?.{0,40}?the regents of the university of california all rights reserved"),
+    ("bsd-4-clause", 2, "redistribut", r"this product includes software developed by the university of california berkeley and its contributors"),
+    ("bsd-patent", 2, "redistribut", r"each copyright holder and contributor hereby grants to each contributor a perpetual worldwide .{0,80}? patent license"),
+    ("bsd-protection", 2, "licen", r"this is a protection license that requires that distributed derivative works"),
+    ("sleepycat", 2, "redistribut", r"redistributions in any form must be accompanied by information on how to obtain complete source code"),
+    ("openssl", 2, "redistribut", r"the names openssl toolkit and openssl project must not be used to endorse"),
+    ("ssleay", 2, "copyright", r"this package is an ssl implementation written by eric young"),
+    ("php", 2, "redistribut", r"this product includes php software freely available from"),
+    ("postgresql", 2, "permission", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"),
+    ("tcl", 2, "permission", r"the authors hereby grant permission to use copy modify distribute and license this software"),
+    ("ncsa", 2, "redistribut", r"neither the names? of .{1,100}? nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("w3c", 2, "licen", r"by obtaining using and or copying this work you the licensee agree that you have read understood"),
+    ("w3c", 2, "licen", r"w3 org consortium legal .{0,40}?copyright software"),
+    # Apache.
+    ("apache", 2, "licen", r"(?:released|available|distributed|published) under the (?:terms of the )?apache licen[sc]e"),
+    ("apache", 2, "licen", r"see the notice file distributed with this work for additional information"),
+    ("apache", 2, "licen", r"unless required by applicable law or agreed to in writing software distributed under the license"),
+    ("apache", 2, "licen", r"opensource org licenses apache 2 0"),
+    ("apache", 2, "licen", r"terms and conditions for use reproduction and distribution 1 definitions license shall mean"),
+    ("apache", 2, "redistribut", r"the names? apache(?: server)?(?: group)? and apache software foundation must not be used"),
+    ("apache", 2, "redistribut", r"this product includes software developed by the apache (?:software foundation|group)"),
+    ("apache", 3, "licen", r"apache (?:software )?licen[sc]e and the mit licen[sc]e"),
+    # GNU licenses.
+    ("gpl", 2, "licen", r"(?:released|available|distributed|licensed|published) under the (?:terms of the )?(?:gnu )?gpl"),
+    ("gpl", 2, "licen", r"this program is free software licensed under the terms of the gnu general public license"),
+    ("gpl", 2, "warrant", r"this program is distributed in the hope that it will be useful but without any warranty"),
+    ("gpl", 2, "warrant", r"without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license"),
+    ("gpl", 2, "licen", r"the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl", 2, "licen", r"the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl", 2, "licen", r"the gnu general public license is intended to guarantee your freedom to share"),
+    ("gpl", 2, "gpl", r"may be distributed under the terms of the (?:gnu )?gpl"),
+    ("gpl", 2, "gpl", r"free software foundation .{0,60}? gpl v(?:ersion )?[123]"),
+    ("gpl", 2, "licen", r"alternatively this software may be distributed under the terms of the gnu general public license"),
+    ("gpl", 3, "gpl", r"gpl ?v[123](?: or later)?"),
+    ("gpl", 3, "licen", r"gnu general public license as published by the free software foundation"),
+    ("gpl-classpath", 2, "permission", r"as a special exception the copyright holders of this library give you permission to link this library with independent modules"),
+    ("gpl-gcc", 2, "permission", r"gcc runtime library exception"),
+    ("gpl-bison", 2, "permission", r"as a special exception you may create a larger work that contains part or all of the bison parser skeleton"),
+    ("gpl-autoconf", 2, "licen", r"as a special exception to the gnu general public license if you distribute this file as part of a program that contains a configuration script generated by autoconf"),
+    ("gpl-openssl", 2, "permission", r"give(?:s)? permission to link the code of (?:this program|portions of this program) with the openssl library"),
+    ("gpl-linux-syscall", 2, "copyright", r"this copyright does not cover user programs that use kernel services by normal system calls"),
+    ("lgpl", 2, "warrant", r"this library is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl", 2, "licen", r"the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("lgpl", 2, "licen", r"(?:released|available|distributed|licensed) under the (?:terms of the )?(?:gnu )?lgpl"),
+    ("lgpl", 2, "licen", r"gnu lesser general public license as published by the free software foundation"),
+    ("lgpl", 3, "gpl", r"lgpl ?v(?:2|2 1|3)(?: or later)?"),
+    ("agpl", 2, "licen", r"the gnu affero general public license is a free copyleft license for software and other kinds of works specifically designed to ensure cooperation"),
+    ("agpl", 2, "licen", r"gnu affero general public license as published by the free software foundation"),
+    ("agpl", 3, "gpl", r"agpl ?v3(?: or later)?"),
+    ("gfdl", 2, "licen", r"with no invariant sections no front cover texts and no back cover texts"),
+    ("gfdl", 2, "licen", r"the purpose of this license is to make a manual textbook or other functional and useful document free"),
+    ("gnu-all-permissive", 2, "copyright", r"copying and distribution of this file with or without modification are permitted in any medium without royalty provided the copyright notice"),
+    ("fsf-unlimited", 2, "permission", r"the free software foundation gives unlimited permission to copy distribute and modify it"),
+    # Weaker copyleft.
+    ("mpl", 2, "licen", r"mozilla org mpl (?:mpl )?[12] [01]"),
+    ("mpl", 2, "licen", r"this source code form is incompatible with secondary licenses"),
+    ("mpl", 2, "licen", r"software distributed under the license is distributed on an as is basis without warranty of any kind either express or implied see the license for the specific language governing rights"),
+    ("npl", 2, "licen", r"subject to the netscape public license version 1 [01]"),
+    ("epl", 2, "licen", r"the accompanying program is provided under the terms of this eclipse public license"),
+    ("epl", 2, "licen", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("cpl", 2, "licen", r"the accompanying program is provided under the terms of this common public license"),
+    ("cddl", 2, "licen", r"you can obtain a copy of the license at .{0,60}? cddl"),
+    ("cddl", 2, "licen", r"include this license header notice in each file and include the license file"),
+    ("ms-rl", 2, "licen", r"for any file you distribute that contains code from the software .{0,60}? you must provide recipients the source code"),
+    ("ms-pl", 2, "licen", r"this license governs use of the accompanying software if you use the software you accept this license"),
+    ("osl", 2, "licen", r"licensed under the open software license version [123] 0"),
+    ("afl", 2, "licen", r"licensed under the academic free license version [123] [012]"),
+    ("apsl", 2, "licen", r"subject to the apple public source license version [12] [0-2]"),
+    ("qpl", 2, "licen", r"may be distributed under the terms of the q public license as defined by trolltech"),
+    ("cecill", 2, "licen", r"this software is governed by the cecill(?: [bc])? licen[sc]e under french law"),
+    ("eupl", 2, "licen", r"licence for the european union public licence"),
+    ("eupl", 2, "licen", r"unless required by applicable law or agreed to in writing software distributed under the licence is distributed on an as is basis"),
+    ("artistic", 2, "licen", r"the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic", 2, "copyright", r"the copyright holder maintains some semblance of artistic control"),
+    ("artistic", 2, "licen", r"(?:gnu )?general public license or the artistic license"),
+    ("latex", 2, "licen", r"this work may be distributed and or modified under the conditions of the latex project public license"),
+    ("latex", 2, "licen", r"this work has the lppl maintenance status"),
+    ("zope", 2, "licen", r"this software is subject to the provisions of the zope public license"),
+    ("python", 2, "licen", r"psf is making python available to licensee on an as is basis"),
+    ("python", 2, "licen", r"psf license agreement for python"),
+    ("python", 2, "licen", r"cnri open source license agreement"),
+    ("ruby", 2, "copyright", r"ruby is copyrighted free software by yukihiro matsumoto"),
+    ("ruby", 2, "redistribut", r"you may make and give away verbatim copies of the source form of the software without restriction"),
+    ("perl", 2, "redistribut", r"this (?:library|module|program) is free software you (?:can|may) redistribute it and or modify it under the same terms as perl"),
+    # Data, media and fonts.
+    ("cc0", 2, "copyright", r"to the extent possible under law .{1,80}? has waived all copyright"),
+    ("cc0", 2, "domain", r"cc0 1 0 universal(?: public domain dedication)?"),
+    ("cc-by", 2, "licen", r"this work is licensed under (?:a|the) (?:creative commons|cc) (?:by|attribution) [1-4] [05]"),
+    ("cc-by-sa", 2, "licen", r"this work is licensed under (?:a|the) creative commons attribution share ?alike"),
+    ("cc-by-sa", 2, "licen", r"text is available under the creative commons attribution share ?alike license"),
+    ("cc-by-nc", 2, "licen", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial [1-4] [05]"),
+    ("cc-by-nd", 2, "licen", r"this work is licensed under (?:a|the) creative commons attribution no ?deriv"),
+    ("odbl", 2, "licen", r"made available under the open database license"),
+    ("odbl", 2, "licen", r"opendatacommons org licenses odbl"),
+    ("odc-by", 2, "licen", r"opendatacommons org licenses by"),
+    ("pddl", 2, "licen", r"opendatacommons org licenses pddl"),
+    ("osm", 2, "copyright", r"openstreetmap(?: org)? (?:contributors|copyright)"),
+    ("ogl", 2, "licen", r"contains public sector information licensed under the open government licen[sc]e"),
+    ("ofl", 2, "licen", r"the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("ofl", 2, "copyright", r"with reserved font name"),
+    ("bitstream-vera", 2, "licen", r"obtaining a copy of the fonts accompanying this license fonts and associated documentation files"),
+    ("ubuntu-font", 2, "licen", r"ubuntu font licen[sc]e"),
+    ("fal", 2, "licen", r"free art licen[sc]e|copyleft attitude"),
+    ("design-science", 2, "licen", r"design science license"),
+    ("ogl-game", 2, "licen", r"open game license version 1 0a?"),
+    # Public domain.
+    ("public-domain", 2, "domain", r"(?:the )?authors? disclaims? copyright to this source code"),
+    ("public-domain", 2, "copyright", r"this file has been put into the public domain|no copyright is claimed"),
+    ("public-domain", 2, "domain", r"i hereby (?:place|release|put) (?:this|it) .{0,40}?(?:in|into) the public domain"),
+    ("public-domain", 2, "copyright", r"not subject to copyright protection and is in the public domain"),
+    ("public-domain", 2, "copyright", r"pursuant to title 17 section 105 of the united states code"),
+    ("public-domain", 3, "domain", r"public domain (?:work|software|mark|dedication)"),
+    # Source that is not free, and terms of use.
+    ("busl", 2, "licen", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use"),
+    ("busl", 2, "licen", r"change date .{0,80}? change licen[sc]e"),
+    ("sspl", 2, "licen", r"if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("elastic", 2, "licen", r"you may not provide the software to third parties as a hosted or managed service"),
+    ("commons-clause", 2, "licen", r"commons clause (?:license )?condition"),
+    ("polyform", 2, "licen", r"polyformproject org licenses"),
+    ("confluent", 2, "licen", r"confluent community licen[sc]e"),
+    ("openrail", 2, "licen", r"use based restrictions as referenced in paragraph 5"),
+    ("llama", 2, "licen", r"llama [0-9 ]{0,4}community licen[sc]e"),
+    ("gemma", 2, "licen", r"gemma terms of use"),
+    ("jrl", 2, "licen", r"java research license"),
+    ("bcl", 2, "licen", r"binary code license agreement"),
+    ("oracle-otn", 2, "licen", r"oracle technology network (?:developer )?license"),
+    ("cuda", 2, "licen", r"nvidia (?:cuda|software) (?:toolkit )?(?:end user )?license agreement"),
+    ("intel-bin", 2, "redistribut", r"no reverse engineering decompilation or disassembly of this software is permitted"),
+    ("shareware", 3, "licen", r"this (?:software|program) is shareware"),
+    ("freeware", 3, "licen", r"this (?:software|program) is freeware"),
+    ("evaluation", 3, "licen", r"for (?:evaluation|trial) (?:purposes|use) only"),
+    ("non-commercial", 3, "permission", r"(?:free )?for (?:personal|academic|educational|research|non ?commercial)(?: and (?:personal|academic|educational|research|non ?commercial))? (?:use|purposes) only"),
+    ("no-derivatives", 3, "permission", r"no derivative works? (?:is|are) (?:permitted|allowed)"),
+    ("proprietary", 3, "copyright", r"this (?:software|document|file|material) (?:is|contains) (?:the )?(?:proprietary|confidential)(?: and (?:proprietary|confidential))? (?:property|information)"),
+    ("proprietary", 3, "copyright", r"trade secrets? .{0,80}? protected by copyright"),
+    ("proprietary", 3, "redistribut", r"redistribution (?:of this .{0,30}? )?is (?:strictly )?(?:prohibited|forbidden|not permitted)"),
+    ("proprietary", 3, "licen", r"subject to the terms of (?:a|an|your) (?:commercial|separate|signed) licen[sc]e agreement"),
+    ("proprietary", 4, "permission", r"reproduced with (?:the )?(?:kind )?permission(?: of)?"),
+    ("proprietary", 4, "permission", r"without (?:the )?(?:prior |express )+(?:written )?permission"),
+    ("copyright", 5, "copyright", r"portions? copyright"),
+    ("copyright", 5, "copyright", r"no part of this (?:publication|work|document|book)"),
+    ("license", 5, "licen", r"for (?:more )?licen[sc](?:e|ing) (?:information|details|terms)"),
+    ("license", 5, "licen", r"third party licen[sc]es?|open source licen[sc]es?"),
+    ("warranty", 5, "warrant", r"(?:without|no) (?:any )?(?:express |implied )?warranty"),
     ("copyright", 5, "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}"),
     ("copyright", 5, "copyright", r"copyright (?:c|holders?|owners?|notice)"),
     ("license", 5, "licen", r"licen[sc]ed? under(?: the)?(?: terms of)?"),
@@ -197,3 +372,11 @@ def rules() -> list[tuple[int, str, int, str, str]]:
     out += [(label, tier, keyword, _pattern(words)) for label, tier, keyword, words in NOTICES]
     out.sort(key=lambda rule: rule[1])
     return [(rank, *rule) for rank, rule in enumerate(out)]
+
+
+def alternations() -> dict[str, str]:
+    """By keyword with many rules, one pattern that finds what any of them finds."""
+    found: dict[str, list[str]] = {}
+    for _, _, _, keyword, pattern in rules():
+        found.setdefault(keyword, []).append(pattern)
+    return {keyword: "|".join(dict.fromkeys(patterns)) for keyword, patterns in found.items() if len(patterns) > 4}

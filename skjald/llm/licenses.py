@@ -69,6 +69,11 @@ def matches(texts: DataFrame) -> DataFrame:
     rules = spark.createDataFrame(table, "rank int, label string, tier int, keyword string, pattern string")
     words = F.array(*(F.lit(x) for x in sorted({rule[3] for rule in table})))
     keyed = texts.withColumn("keyword", F.explode(F.filter(words, lambda w: F.contains(F.col("low"), w))))
+    # A literal pattern, compiled once, says whether any of a keyword's many rules matches; only then is each tried.
+    chain = F
+    for keyword, pattern in license_rules.alternations().items():
+        chain = chain.when(F.col("keyword") == keyword, F.regexp_like("low", F.lit(pattern)))
+    keyed = keyed.filter(chain.otherwise(F.lit(True)))
     tried = keyed.join(F.broadcast(rules), "keyword").filter(F.regexp_like("low", F.col("pattern")))
     found, pieces = F.regexp_extract_all("low", F.col("pattern"), F.lit(0)), F.split("low", F.col("pattern"), -1)
     steps = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("gap"), F.length(m).alias("size")))
