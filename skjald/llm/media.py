@@ -5,7 +5,8 @@ module. Its fingerprint is an array of time-coded pairs of spectral peaks: the
 strongest bin of each band and frame is a peak, and each peak is paired with the
 other peaks of its frame and those of the next frames. All steps work row by row, without a shuffle.
 
-Cases: a null text counts as empty, whose payload is one block of zeros; equal texts
+Cases: a null text counts as empty, whose payload is one block of zeros; very long texts
+are one file, transformed some frames at a time; of bins that are equally strong the lowest is the peak; equal texts
 have equal values in every column; null and repeated ids and other columns don't
 matter; an empty table gives an empty result.
 """

@@ -55,7 +55,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.read_media(media.wav_column(table(spark, sf_dir, "documents")), with_prints=False)
+    return media.read_media(media.wav_column(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -70,4 +70,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_media": op10_media,
 }
-ORACLES: dict[str, str] = {}
+#: Smallest node that each one reaches by the links e (x, y), of the nodes that `nodes` selects.
+REACHED = """r(node, label) AS (SELECT node, node FROM ({nodes}) UNION SELECT e.y, r.label FROM r JOIN e ON e.x = r.node WHERE r.label < e.y),
+c AS (SELECT node, min(label) AS component_id FROM r GROUP BY 1)"""
+ORACLES: dict[str, str] = {
+    "op6_embeddings": f"""WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS x FROM embeddings),
+g AS (SELECT * FROM v WHERE x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+e AS (SELECT a.vec_id AS x, b.vec_id AS y FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+n AS (SELECT x AS id, count(*) AS n_links FROM e GROUP BY 1), {REACHED.format(nodes="SELECT vec_id AS node FROM v")}
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c ON vec_id = node LEFT JOIN n ON vec_id = id""",
+    "op8_minhash": f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS t FROM d),
+s AS (SELECT DISTINCT doc_id, t FROM u), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * k >= 75 * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l), {REACHED.format(nodes="SELECT doc_id AS node FROM documents")}
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d JOIN c ON d.doc_id = node LEFT JOIN n USING (doc_id)""",
+}
