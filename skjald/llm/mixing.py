@@ -9,12 +9,15 @@ expected copies stay as they were. Blocks of documents leave one open document f
 each source; the open ones of many blocks meet in the next level of a tree, until
 each source has one, which goes to the nearer whole number.
 
-A document's block follows from its id and size, and random numbers from seed, level
-and block, so that reruns agree whatever the partitions are.
+A document's block follows from its id and size, and its number among rows that agree in
+both and the source; random numbers follow from seed, level and block, so that reruns
+agree whatever the partitions are.
 
 Cases: a null source is a source of its own, the last in order; a null text has no
-words; documents without words are never taken; an empty table gives an empty result;
-equal ids are documents of their own; other columns are ignored.
+words; documents without words are never taken; a very long text is one document as any
+other, and a source's taken words may miss its target by half of its longest one; of
+pairs in which both documents become whole at once, both are settled; an empty table
+gives an empty result; equal ids are documents of their own; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -110,10 +113,12 @@ def mix(sized: DataFrame, seed: int = 7, weights: Sequence[float] = WEIGHTS, mos
     `sized` has a row for each document and is read a few times: cut its lineage before."""
     by_source = cut(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most))
     rates = small(by_source.select(F.col("source").alias("s"), F.col("source_size"), F.col("target")))
-    rows = sized.join(rates, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    # Rows that agree in all of these stand for one another: they are numbered, so that many don't meet in one block.
+    each = sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")).withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("rows")
+    rows = each.join(rates, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     taken = F.when(F.col("size") > 0, rate).otherwise(0.0)
-    rows = rows.withColumn("whole", F.floor(taken)).withColumn("part", taken - F.floor(taken)).withColumn("tie", F.xxhash64(F.lit(seed), "doc_id", "size"))
+    rows = rows.withColumn("whole", F.floor(taken)).withColumn("part", taken - F.floor(taken)).withColumn("tie", F.xxhash64(F.lit(seed), "doc_id", "size", "number")).drop("number")
     blocks = max(1, -(-sized.count() // BLOCK_ROWS))
     done = []
     open_rows, level = rows, 0
