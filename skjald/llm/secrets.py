@@ -14,7 +14,9 @@ overlap. The pieces between matches, from split(), and the matches, from
 regexp_extract_all(), give the offsets by a running sum within the row; the texts
 themselves are read once and never shuffled.
 
-Cases: a null text counts as empty; rows with equal id and text are scanned alike, once
+Cases: a null text counts as empty; very long texts are scanned whole, and their parts
+meet by cells, never all at once; of spans that start together the order is that of the
+kinds; spans of different kinds may overlap; rows with equal id and text are scanned alike, once
 for the links; null ids are joined as values; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -36,8 +38,8 @@ BASE = [
     ("hex", r"[0-9a-f]{16,}", [], "secret"),
 ]
 WEAK = [
-    ("client", r"""(?i:client_?id|app_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,64}""", ["client", "app", "account", "user", "login"], "identifier"),
-    ("opaque", r"(?<![A-Za-z0-9+/=])(?=[A-Za-z+/]{0,39}[0-9])(?=[a-z0-9+/]{0,39}[A-Z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])", [], "secret"),
+    ("client", r"""(?i:client_?id|app_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,}""", ["client", "app", "account", "user", "login"], "identifier"),
+    ("opaque", r"(?<![A-Za-z0-9+/=])(?=[A-Za-z+/]{0,39}[0-9])(?=[a-z0-9+/]{0,39}[A-Z])[A-Za-z0-9+/]{40,}+", [], "secret"),
     ("endpoint", r"(?i:https?|ftp|jdbc:[a-z]+|mongodb|redis|amqps?)://[A-Za-z0-9._~:@-]{4,}", ["://"], "endpoint"),
 ]
 KINDS = [kind for kind, *_ in BASE + WEAK]
