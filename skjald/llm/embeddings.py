@@ -13,7 +13,8 @@ of their links, so that a group of n near copies makes no n * n rows.
 
 Cases: null or zero vectors, those with null or non-finite components and those of no
 components link with nothing and are components of their own; vectors of different
-lengths never link; equal ids are vectors of their own, in one component; null
+lengths never link; vectors of any length are hashed, very long ones too; a cosine that
+equals the threshold links, and of equal components the first axis is the nearer; equal ids are vectors of their own, in one component; null
 ids count as vectors but give no component's name; an empty table gives an empty result;
 other columns are ignored.
 """
