@@ -3,6 +3,13 @@
 Stages are (name, function of (spark, docs, sf_dir)); all but the last return the columns
 of `documents`. run() writes each stage's result to the shared folder and reads it again,
 so that a lost executor never costs more than a stage.
+
+Cases, which follow from the operators: null and empty texts aren't toxic, have no near
+duplicates and no secrets, and are never taken by the mix, as they have no words; very
+long texts are read whole by every stage; rows without an id are no one's near
+duplicate; rows that repeat with words in them are one after the second stage; of equal
+sets the smallest id stays; a score that equals the threshold is rejected; an empty table
+gives an empty result; other columns of the documents pass through.
 """
 
 from __future__ import annotations
