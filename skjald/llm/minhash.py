@@ -22,7 +22,8 @@ Stages, of which none sends a document's set or signature to the driver:
 Two signatures of SLOTS = 128 slots that stand for a similarity of 0.75 agree in fewer
 than 128 * LEAST slots with a chance of about 1e-6; those pairs aren't verified.
 
-Cases: null texts and texts without words have an empty set, n_shingles 0, and are
+Cases: very long texts are read whole, and a tile's members are bounded in their number,
+not in the size of their sets; of equal sets the smallest id stands for all; null texts and texts without words have an empty set, n_shingles 0, and are
 linked with nothing; rows that repeat are documents of equal sets; rows without an id
 are linked with nothing, have no component and are kept; an empty table gives an empty
 result; columns other than id and text are ignored.
@@ -51,8 +52,6 @@ LEAST = 0.56
 TILE = 1024
 #: The same for full sets.
 TILE_SETS = 512
-#: Word hashes that a worker remembers.
-MEMO_WORDS = 100_000
 #: Rows of two integers up to which a table is broadcast: some 10 MB.
 BROADCAST_IDS = 300_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -65,25 +64,43 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-WORD_HASHES = WordHashes()
+#: A random number for each byte, A-Z as a-z, and none for blanks.
+BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
+BYTES[65:91] = BYTES[97:123]
+BLANK = np.isin(np.arange(256), [*range(9, 14), 32])
+BYTES[BLANK] = 0
+#: Weights of a word's bytes by their places; after the last one they begin again with other bytes.
+PLACES = ODD ** np.arange(1 << 12, dtype=np.uint64)
+#: Bytes that are hashed at a time.
+HASHED = 1 << 20
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in order, and how many each text has."""
+    raw = [text.encode() if text else b"" for text in texts]
+    found = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+    blank = BLANK[found]
+    starts = np.flatnonzero(~blank & np.append(True, blank)[:-1])
+    bounds = np.cumsum([0, *(len(x) + 1 for x in raw)])
+    counts = np.diff(np.searchsorted(starts, bounds))
+    out = np.empty(len(starts), np.uint64)
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(found), HASHED)), len(starts)))
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        first = starts[low:high]
+        part = found[first[0] : starts[high] if high < len(starts) else len(found)]
+        first = first - first[0]
+        place = np.arange(len(part)) - np.repeat(first, np.diff(np.append(first, len(part))))
+        value = BYTES[part]
+        far = place >= len(PLACES)
+        if far.any():
+            value[far] = np.where(value[far] == 0, 0, mixed(value[far] + (place[far] // len(PLACES)).astype(np.uint64)))
+        out[low:high] = np.add.reduceat(value * PLACES[place % len(PLACES)], first)
+    return mixed(out), counts
 
 
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of each text's distinct shingles, joined, and how many each text has."""
-    counts, hashes = [], []
-    for text in texts:
-        words = text.encode().lower().split() if text else []
-        counts.append(len(words))
-        hashes.append(np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words)))
-    words, n = np.concatenate([np.zeros(0, np.uint64), *hashes]), np.array(counts, np.int64)
+    words, n = word_hashes(texts)
     row = np.repeat(np.arange(len(n)), n)
     left = np.repeat(np.cumsum(n), n) - np.arange(len(words))  # words from here to the text's end
     first = np.ones(len(words), bool)
