@@ -5,7 +5,8 @@ for pre-tokens that are entries themselves, and the others are merged by a heap
 candidate pairs over linked bytes. Both tables have the size of the vocabulary, which
 is fixed, and so go to the tasks whole. Encoding is a narrow operation without a shuffle.
 
-Cases: a null text counts as empty and has no ids; rows with null or repeated ids are
+Cases: a null text counts as empty and has no ids; very long texts and pre-tokens are
+encoded whole, the latter in time near to linear; of pairs of equal rank the leftmost is merged first; rows with null or repeated ids are
 encoded like any other; an empty table gives an empty result; columns other than the
 id and text are ignored by the column names given.
 """
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame
 
 from skjald.llm.common import tokenizer_file
 
-#: Chunks in each of a worker's two memories, and the longest that is kept: below about 250 MB.
-MEMO_CHUNKS, MEMO_CHARS = 500_000, 40
+#: Chunks in each of a worker's two memories, and the longest that is kept: below about 75 MB.
+MEMO_CHUNKS, MEMO_CHARS = 150_000, 40
 #: A lone blank between other characters always begins a pre-token.
 SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
