@@ -310,6 +310,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """The rows of `docs` whose score is below TOXIC."""
-    scored = score_documents(docs, learn(docs, labels, id_col, text_col, label_col), text_col)
-    return scored.filter(F.col("__score") < TOXIC).select(*docs.columns)
+    """The rows of `docs` whose score is below TOXIC.
+
+    Texts are scored by themselves, and the digests of those that go are sent back to the rows."""
+    scored = score_documents(docs.select(F.md5(F.coalesce(text_col, F.lit(""))).alias("__digest"), F.col(text_col).alias("text")), learn(docs, labels, id_col, text_col, label_col))
+    gone = cut(scored.filter(F.col("__score") >= TOXIC).select("__digest").distinct())
+    rows = docs.withColumn("__digest", F.md5(F.coalesce(text_col, F.lit(""))))
+    return rows.join(small(gone, LABEL_ROWS), "__digest", "left_anti").select(*docs.columns)
