@@ -176,6 +176,10 @@ class Codec:
             found = [(), *(self.memo.get(p) or self.pieces(" " + p) for p in parts[1:])]
         return [*self.pieces(parts[0]), *itertools.chain.from_iterable(found)]
 
+    def forget(self) -> None:
+        """Drops what was remembered, at the end of a task: the worker lives on, for tasks of other kinds."""
+        self.memo, self.old = {}, {}
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.words.__getitem__, ids))
 
@@ -215,6 +219,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
                 part = batch.slice(at, 256)
                 ids = [codec.encode(text.as_py() or "") for text in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        codec.forget()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
@@ -251,5 +256,6 @@ def round_trip_documents(docs: DataFrame, path: str | None = None, pattern: str
                 digests.append(hashlib.sha256(" ".join(map(shown.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        codec.forget()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

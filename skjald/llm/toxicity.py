@@ -47,11 +47,11 @@ ALPHABET = 200
 #: Log ratio from which a distinct word is evidence of its own, and the most that one counts beyond it.
 STRONG, MOST = 2.5, 4.0
 TOXIC = 0.7
-#: Grams that are sent to the tasks: below about 40 MB for each worker and model.
-SENT_GRAMS = 200_000
+#: Grams that are sent to the tasks: below about 20 MB for each worker and model.
+SENT_GRAMS = 100_000
 CALIBRATION_ROWS = 30_000
 #: Words that a worker remembers or counts at a time.
-MEMO_WORDS = 100_000
+MEMO_WORDS = 50_000
 #: Rows of labels up to which they are broadcast: some 5 MB.
 LABEL_ROWS = 300_000
 #: Letters, digits and all bytes of other characters stay; A-Z become small.
