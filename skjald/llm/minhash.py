@@ -64,13 +64,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-#: A random number for each byte, A-Z as a-z, and none for blanks.
-BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
-BYTES[65:91] = BYTES[97:123]
+#: Places of a word with random numbers of their own for each byte; later ones mix theirs with the number of the run.
+PLACES = 64
+#: Independent random numbers of (place, byte), A-Z as a-z: a word's hash is their sum, so that no two words collide by their shape.
+TABLE = mixed(np.arange(1, PLACES * 256 + 1, dtype=np.uint64) * ODD).reshape(PLACES, 256)
+TABLE[:, 65:91] = TABLE[:, 97:123]
 BLANK = np.isin(np.arange(256), [*range(9, 14), 32])
-BYTES[BLANK] = 0
-#: Weights of a word's bytes by their places; after the last one they begin again with other bytes.
-PLACES = ODD ** np.arange(1 << 12, dtype=np.uint64)
+TABLE[:, BLANK] = 0
+TABLE = TABLE.ravel()
 #: Bytes that are hashed at a time.
 HASHED = 1 << 20
 
@@ -90,11 +91,11 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         part = found[first[0] : starts[high] if high < len(starts) else len(found)]
         first = first - first[0]
         place = np.arange(len(part)) - np.repeat(first, np.diff(np.append(first, len(part))))
-        value = BYTES[part]
-        far = place >= len(PLACES)
+        value = TABLE[(place % PLACES << 8) + part]
+        far = (place >= PLACES) & (value != 0)
         if far.any():
-            value[far] = np.where(value[far] == 0, 0, mixed(value[far] + (place[far] // len(PLACES)).astype(np.uint64)))
-        out[low:high] = np.add.reduceat(value * PLACES[place % len(PLACES)], first)
+            value[far] = mixed(value[far] + (place[far] // PLACES).astype(np.uint64) * ODD)
+        out[low:high] = np.add.reduceat(value, first)
     return mixed(out), counts
 
 
