@@ -105,11 +105,12 @@ def first_outside(text: Column) -> Column:
 
 
 def has_number(text: Column) -> Column:
-    return text.rlike("[0-9]+")
+    return text.rlike(r"\p{Nd}")
 
 
 def digit_runs(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit("([0-9]+)"), F.lit(1))
+    """Runs of decimal digits of any script."""
+    return F.regexp_extract_all(text, F.lit(r"(\p{Nd}+)"), F.lit(1))
 
 
 def letters(text: Column) -> Column:
@@ -117,21 +118,6 @@ def letters(text: Column) -> Column:
     return F.array_join(F.split(F.translate(text, " ", "|"), ""), " ")
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(text, " "), lambda w: w != "")
-
-
-def word_distance(reference: Column, other: Column) -> Column:
-    """Edit distance of two arrays of words: each distinct word becomes a character, so that the built-in distance of strings applies."""
-    names = F.array_distinct(F.concat(reference, other))
-
-    def coded(found: Column) -> Column:
-        # From a block of letters; past its end from the private planes, which hold more than any transcript's words.
-        return F.array_join(F.transform(found, lambda w: F.decode(F.unhex(F.lpad(F.hex((F.array_position(names, w) + 0xF0000).cast("long")), 8, "0")), "utf-32")), "")
-
-    return F.levenshtein(coded(reference), coded(other))
-
-
 def seconds(text: Column) -> Column:
     """Numbers that end in S, as in 3.5S; null if that isn't one."""
     return F.rtrim(text, F.lit("S")).try_cast("double")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skjald.operators.reruns import sized
+from skjald.sources.shared import cut
 
 
 def index(songs: DataFrame, key: str, tokens: str | Column, size: int = 3, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
@@ -19,18 +20,52 @@ def index(songs: DataFrame, key: str, tokens: str | Column, size: int = 3, diges
     return songs.filter(n > 0).select(F.col(key).alias("song_id"), F.posexplode(run).alias("offset", "hash"))
 
 
+def asked_hashes(query: DataFrame, often_read: bool = False) -> tuple[DataFrame, DataFrame]:
+    """query_id, hash and at (its first place) of each query's distinct hashes, and query_id and total."""
+    asked = query.groupBy(F.col("song_id").alias("query_id"), "hash").agg(F.min("offset").alias("at"))
+    asked = cut(asked) if often_read else asked
+    return asked, asked.groupBy("query_id").agg(F.count("*").alias("total"))
+
+
+def candidates(asked: DataFrame, totals: DataFrame, indexed: DataFrame, confidence: float, song: list[str]) -> DataFrame:
+    """query_id, `song` and shift of all places at which a query may reach `confidence`.
+
+    So many of a query's `total` hashes must agree that one at least is among any total -
+    need + 1 of them: only that many of its rarest ones in the index are looked up. Hashes
+    that all songs share are looked up by queries alone that have next to nothing else."""
+    often = indexed.groupBy("hash").agg(F.count("*").alias("often"))
+    need = F.greatest(F.ceil(F.lit(confidence) * F.col("total") - 1e-9), F.lit(1))
+    order = Window.partitionBy("query_id").orderBy(F.coalesce("often", F.lit(0)), "hash")
+    ranked = asked.join(often, "hash", "left").join(totals, "query_id").withColumn("place", F.row_number().over(order))
+    rare = ranked.filter((F.col("place") <= F.col("total") - need + 1) & F.col("often").isNotNull())
+    return rare.select("query_id", "hash", "at").join(indexed, "hash").select("query_id", *song, (F.col("offset") - F.col("at")).alias("shift")).distinct()
+
+
+def aligned(query: DataFrame, indexed: DataFrame, confidence: float, song: list[str]) -> DataFrame:
+    """query_id, `song`, aligned, confidence and rank within the query (and the other columns of `song`)."""
+    asked, totals = asked_hashes(query, confidence > 0)
+    shift = (F.col("offset") - F.col("at")).alias("shift")
+    if confidence > 0:
+        found = cut(candidates(asked, totals, indexed, confidence, song))
+        wanted = found.join(asked, "query_id").select("query_id", *song, "shift", "hash", (F.col("at") + F.col("shift")).alias("offset"))
+        there = indexed.join(sized(found.select(*song).distinct()), song, "left_semi")
+        votes = wanted.join(there, [*song, "hash", "offset"])
+    else:  # any vote counts, so that all are looked up
+        votes = asked.join(indexed, "hash").select("query_id", *song, shift)
+    votes = votes.groupBy("query_id", *song, "shift").agg(F.count("*").alias("n"))
+    best = votes.groupBy("query_id", *song).agg(F.max("n").alias("aligned")).join(totals, "query_id").withColumn("confidence", F.col("aligned") / F.col("total"))
+    order = Window.partitionBy("query_id", *song[:-1]).orderBy(F.desc("aligned"), song[-1])
+    return best.filter(F.col("confidence") >= confidence).withColumn("rank", F.row_number().over(order)).select("query_id", *song, "aligned", "confidence", "rank")
+
+
 def match(query: DataFrame, indexed: DataFrame, confidence: float = 0.0) -> DataFrame:
     """query_id, song_id, aligned, confidence and rank of songs whose hashes agree with a query's at one shift.
 
     A song's votes are the query's distinct hashes at its best shift, and its confidence their share
     of all of the query's hashes. Repeats of a hash within a query count once; a query, song and
-    shift fix the offset of each hash, so that rows are votes."""
-    asked = query.groupBy(F.col("song_id").alias("query_id"), "hash").agg(F.min("offset").alias("at"))
-    totals = asked.groupBy("query_id").agg(F.count("*").alias("total"))
-    votes = asked.join(indexed, "hash").groupBy("query_id", "song_id", (F.col("offset") - F.col("at")).alias("shift")).agg(F.count("*").alias("n"))
-    best = votes.groupBy("query_id", "song_id").agg(F.max("n").alias("aligned")).join(totals, "query_id").withColumn("confidence", F.col("aligned") / F.col("total"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("aligned"), "song_id")
-    return best.filter(F.col("confidence") >= confidence).withColumn("rank", F.row_number().over(order)).select("query_id", "song_id", "aligned", "confidence", "rank")
+    shift fix the offset of each hash, so that rows are votes. With a least confidence above
+    0, votes are counted for candidates() alone."""
+    return aligned(query, indexed, confidence, ["song_id"])
 
 
 def index_names(asked: DataFrame, names: DataFrame) -> DataFrame:
@@ -50,13 +85,8 @@ def match_indexes(query: DataFrame, indexes: DataFrame, names: DataFrame, confid
 
     `indexes` is the table of all of them, with name, song_id, hash and offset: a search over many
     indexes is one join, not a loop, and folders by name prune those that aren't asked for."""
-    asked = query.groupBy(F.col("song_id").alias("query_id"), "hash").agg(F.min("offset").alias("at"))
-    totals = asked.groupBy("query_id").agg(F.count("*").alias("total"))
     chosen = indexes.join(sized(names.select("name").distinct()), "name", "left_semi")
-    votes = asked.join(chosen, "hash").groupBy("query_id", "name", "song_id", (F.col("offset") - F.col("at")).alias("shift")).agg(F.count("*").alias("n"))
-    best = votes.groupBy("query_id", "name", "song_id").agg(F.max("n").alias("aligned")).join(totals, "query_id").withColumn("confidence", F.col("aligned") / F.col("total"))
-    order = Window.partitionBy("query_id", "name").orderBy(F.desc("aligned"), "song_id")
-    return best.filter(F.col("confidence") >= confidence).withColumn("rank", F.row_number().over(order)).select("query_id", "name", "song_id", "aligned", "confidence", "rank")
+    return aligned(query, chosen, confidence, ["name", "song_id"])
 
 
 def listed(matches: DataFrame, *by: str) -> DataFrame:

@@ -39,8 +39,8 @@ def sample(rows: DataFrame, key: str, seed: str, n: int = 100) -> DataFrame:
 
 
 def segment_lines(segments: DataFrame, key: str) -> DataFrame:
-    """A line of file name and samples for each segment."""
-    return segments.select(key, F.format_string("%d.wav\t%d", F.col("seg_id"), F.col("end_sample") - F.col("start_sample")).alias("line"))
+    """A line of file name and samples for each segment, beside its number."""
+    return segments.select(key, "seg_id", F.format_string("%d.wav\t%d", F.col("seg_id"), F.col("end_sample") - F.col("start_sample")).alias("line"))
 
 
 def triples(rows: DataFrame, path: str, samples: str, sentence: str) -> DataFrame:
@@ -48,9 +48,14 @@ def triples(rows: DataFrame, path: str, samples: str, sentence: str) -> DataFram
     return rows.select(F.concat_ws("\t", path, F.col(samples).cast("string")).alias("tsv"), F.col(sentence).alias("wrd"), text.letters(F.col(sentence)).alias("ltr"))
 
 
-def collisions(rows: DataFrame, path: str) -> DataFrame:
-    """Output paths that more than one row would write."""
-    return rows.groupBy(path).agg(F.count("*").alias("n")).filter("n > 1")
+def collisions(rows: DataFrame, path: str, existing: DataFrame | None = None) -> DataFrame:
+    """Output paths that more than one row would write, or that are among the `existing` ones: path, n (rows) and exists."""
+    n = rows.groupBy(path).agg(F.count("*").alias("n"))
+    if existing is None:
+        return n.withColumn("exists", F.lit(False)).filter("n > 1")
+    there = existing.select(F.col(path).alias("__there")).distinct()
+    found = n.join(there, F.col(path) == F.col("__there"), "left")
+    return found.select(path, "n", F.col("__there").isNotNull().alias("exists")).filter("n > 1 OR exists")
 
 
 def numbered(rows: DataFrame, key: str, order: str) -> DataFrame:

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import or_
 
+import ahocorasick
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skjald.functions import paths
+from skjald.operators import segments
+from skjald.sources.shared import cut
 
 #: Rows of a catalogue or status table up to which it is broadcast.
 BROADCAST_ROWS = 100_000
@@ -65,8 +72,8 @@ def pending(files: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return files.join(sized(done.select(key).distinct()), key, "left_anti")
 
 
-def audit(wanted: DataFrame, done: DataFrame, path: str = "file_path") -> DataFrame:
-    """One row: all, processed and not processed. A line counts if it has a folder; its key is the name
+def audit(wanted: DataFrame, done: DataFrame, path: str = "file_path", quarantine: DataFrame | None = None) -> DataFrame:
+    """One row: all, processed and not processed, and the lines in `quarantine`, which are none of these. A line counts if it has a folder; its key is the name
     without .mp3, or without four characters more."""
     lines = wanted.filter(F.size(F.split(path, "/")) >= 2).select(paths.basename(F.col(path)).alias("name"))
     key = F.when(F.contains("name", F.lit(".mp3")), F.expr("left(name, greatest(length(name) - 4, 0))")).otherwise(F.col("name"))
@@ -74,15 +81,63 @@ def audit(wanted: DataFrame, done: DataFrame, path: str = "file_path") -> DataFr
     there = sized(done.select(F.col("name").alias("d")).distinct())
     found = keys.join(there.withColumnRenamed("d", "d1"), F.col("k1") == F.col("d1"), "left").join(there.withColumnRenamed("d", "d2"), F.col("k2") == F.col("d2"), "left")
     ready = F.col("d1").isNotNull() | F.col("d2").isNotNull()
-    return found.agg(F.count("*").alias("n_all"), F.count_if(ready).alias("n_processed"), F.count_if(~ready).alias("n_pending"))
+    sums = found.agg(F.count("*").alias("n_all"), F.count_if(ready).alias("n_processed"), F.count_if(~ready).alias("n_pending"))
+    return sums if quarantine is None else sums.join(F.broadcast(quarantine.agg(F.count("*").alias("n_quarantined"))))
+
+
+#: Bytes of parts that one automaton holds.
+PARTS = 8_000_000
+
+
+def held_parts(texts: DataFrame, parts: DataFrame, text: str, part: str, order: str) -> DataFrame:
+    """part, first_match (the least `order` of the texts that hold it) and n_matches, of the parts that a text holds.
+
+    An automaton of all parts runs over each text once, whatever their number; tables of
+    parts above PARTS bytes are taken in several runs. What is shuffled is a row for each batch
+    of texts and part."""
+    parts = cut(parts.select(F.col(part).alias("part")).dropna().distinct())
+    kind = texts.schema[order].dataType.simpleString()
+    runs = -(-int(parts.agg(F.coalesce(F.sum(F.octet_length("part") + 40), F.lit(0))).first()[0]) // PARTS)
+    found = None
+    for number in range(max(runs, 1)):
+        sent = texts.sparkSession.sparkContext.broadcast(parts.filter(F.pmod(F.xxhash64("part"), F.lit(max(runs, 1))) == number).toArrow().column(0).to_pylist())
+        some = texts.select(text, order).mapInArrow(_scan(sent), f"part string, first_match {kind}, n_matches long")
+        found = some if found is None else found.union(some)
+    return found.groupBy("part").agg(F.min("first_match").alias("first_match"), F.sum("n_matches").alias("n_matches"))
+
+
+def _scan(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for part in sent.value:
+            if part:
+                automaton.add_word(part, part)
+        automaton.make_automaton()
+        empty = "" in sent.value  # which every text holds
+        for batch in batches:
+            first: dict = {}
+            n: Counter = Counter()
+            for text, order in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if text is None:
+                    continue
+                here = {part for _, part in automaton.iter(text)} if len(automaton) else set()
+                if empty:
+                    here.add("")
+                for part in here:
+                    n[part] += 1
+                    if order is not None and (part not in first or order < first[part]):
+                        first[part] = order
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([first.get(p) for p in n], batch.schema.field(1).type), pa.array(list(n.values()), pa.int64())], ["part", "first_match", "n_matches"])
+
+    return run
 
 
 def first_match(rows: DataFrame, texts: DataFrame, text: str, part: str, order: str) -> DataFrame:
-    """For each row of `rows` (with column `part`), the first row of `texts` in `order` whose `text` holds it, and how many do.
+    """For each row of `rows` (with column `part`), the first row of `texts` in `order` whose `text` holds it literally, and how many do.
 
     A part's words but the first and last are whole words of each text that holds it: the
     one of them that the fewest texts have finds the texts, and the part is then looked for
-    in these. Parts of fewer than three words meet all texts."""
+    in these. Parts of fewer than three words have no such word: held_parts() looks for all of them at once."""
     words_of = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
     parts = rows.withColumn("__inner", words_of(F.array_join(F.slice(F.split(part, " "), F.lit(2), F.greatest(F.size(F.split(part, " ")) - 2, F.lit(0))), " ")))
     asked = parts.select(F.explode("__inner").alias("__word")).distinct()
@@ -91,9 +146,10 @@ def first_match(rows: DataFrame, texts: DataFrame, text: str, part: str, order:
     rarest = each.join(sized(held), "__word").groupBy(*rows.columns).agg(F.min_by("__word", F.struct("__n", "__word")).alias("__word"))
     with_word = rows.join(rarest.select(F.col(part).alias("__part"), "__word").distinct(), F.col(part) == F.col("__part")).drop("__part")
     long = texts.withColumn("__word", F.explode(words_of(F.col(text)))).join(sized(with_word), "__word").filter(F.contains(F.col(text), F.col(part))).drop("__word")
-    short = texts.join(sized(parts.filter(F.size("__inner") == 0).drop("__inner")), F.contains(F.col(text), F.col(part)))
-    found = long.select(*rows.columns, order).union(short.select(*rows.columns, order))
-    return found.groupBy(*rows.columns).agg(F.min(order).alias("first_match"), F.count("*").alias("n_matches"))
+    found = long.select(*rows.columns, order).groupBy(*rows.columns).agg(F.min(order).alias("first_match"), F.count("*").alias("n_matches"))
+    short = parts.filter(F.size("__inner") == 0).drop("__inner").distinct()
+    short = short.join(held_parts(texts, short, text, part, order).withColumnRenamed("part", "__part"), F.col(part) == F.col("__part")).drop("__part")
+    return found.union(short.select(*rows.columns, "first_match", "n_matches"))
 
 
 def only_months(files: DataFrame, month: str, months: list[str], exclude: bool = False) -> DataFrame:
@@ -114,6 +170,4 @@ def zipped(left: DataFrame, right: DataFrame, number: str) -> DataFrame:
 
 def snippets(files: DataFrame, done: DataFrame, key: str, samples: str, start: int, end: int, rate: int = 16_000) -> DataFrame:
     """Samples from second `start` to `end` of each file, as far as it has them, but for the files that are in `done`."""
-    n = F.col(samples)
-    rows = pending(files, done, key)
-    return rows.select(key, F.least(F.lit(start * rate), n).cast("long").alias("start_sample"), F.least(F.lit(end * rate), n).cast("long").alias("end_sample"))
+    return segments.snippet(pending(files, done, key), key, samples, start, end, rate)

@@ -2,21 +2,48 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skjald.functions import paths, text
+from skjald.functions import edits, paths
 from skjald.operators.reruns import sized
 
 
-def error_rates(rows: DataFrame, reference: Column, other: Column, by: list[str]) -> DataFrame:
-    """Character and word error rates of each group: all edits over the references' length."""
-    a, b = F.coalesce(reference, F.lit("")), F.coalesce(other, F.lit(""))
-    rows = rows.select(*by, a.alias("a"), b.alias("b")).withColumn("wa", text.words(F.col("a"))).withColumn("wb", text.words(F.col("b")))
-    edits = lambda d: F.when(F.col("a") == F.col("b"), 0).otherwise(d)
-    sums = rows.groupBy(*by).agg(F.sum(edits(F.levenshtein("a", "b"))).alias("ce"), F.sum(F.length("a")).alias("cn"), F.sum(edits(text.word_distance(F.col("wa"), F.col("wb")))).alias("we"), F.sum(F.size("wa")).alias("wn"))
-    rate = lambda e, n: F.when(F.col(n) > 0, F.col(e) / F.col(n))
-    return sums.select(*by, rate("ce", "cn").alias("cer"), rate("we", "wn").alias("wer"))
+UNITS = ("char", "word")
+COUNTS = ("substitutions", "insertions", "deletions", "length")
+
+
+def edit_counts(rows: DataFrame, reference: Column, other: Column, by: list[str]) -> DataFrame:
+    """Of each row, and for characters and words: the edits that make the reference into the other text, apart, and the reference's length."""
+    kinds = [rows.schema[c].dataType.simpleString() for c in by]
+    names = [f"{unit}_{count}" for unit in UNITS for count in COUNTS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for a, b in zip(batch.column(len(by)).to_pylist(), batch.column(len(by) + 1).to_pylist(), strict=True):
+                row = []
+                for x, y in ((a, b), ([w for w in a.split(" ") if w], [w for w in b.split(" ") if w])):
+                    row += [*(edits.counts(x, y) if x != y else (0, 0, 0)), len(x)]
+                found.append(row)
+            columns = [pa.array([row[k] for row in found], pa.int64()) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(by)], *columns], [*by, *names])
+
+    schema = ", ".join([*(f"`{c}` {kind}" for c, kind in zip(by, kinds, strict=True)), *(f"{n} long" for n in names)])
+    texts = [F.coalesce(reference, F.lit("")).alias("__reference"), F.coalesce(other, F.lit("")).alias("__other")]
+    return rows.select(*by, *texts).mapInArrow(run, schema)
+
+
+def error_rates(rows: DataFrame, reference: Column, other: Column, by: list[str], apart: bool = False) -> DataFrame:
+    """Character and word error rates of each group, all edits over the references' length; `apart` adds the kinds of edits."""
+    names = [f"{unit}_{count}" for unit in UNITS for count in COUNTS]
+    sums = edit_counts(rows, reference, other, by).groupBy(*by).agg(*(F.sum(n).alias(n) for n in names))
+    all_edits = lambda unit: sum((F.col(f"{unit}_{count}") for count in COUNTS[:3]), F.lit(0))
+    rate = lambda unit: F.when(F.col(f"{unit}_length") > 0, all_edits(unit) / F.col(f"{unit}_length"))
+    return sums.select(*by, rate("char").alias("cer"), rate("word").alias("wer"), *(names if apart else []))
 
 
 def grid(*dimensions: DataFrame) -> DataFrame:

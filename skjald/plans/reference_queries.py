@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skjald.functions import draws, paths, text
-from skjald.operators import fingerprints, manifests, reruns, scores, segments
-from skjald.sources import readers, shared, writers
+from skjald.operators import fingerprints, manifests, reruns, scores, segments, song_index
+from skjald.sources import files, readers, shared, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,12 +138,12 @@ def F06_clean_basic(spark, d):
     return read(spark, d, "documents").select("doc_id", text.clean_basic(F.col("text")).alias("cleaned"))
 
 
-@query("SELECT doc_id, array_to_string(regexp_extract_all(text, '[0-9]+'), ',') AS digits, regexp_matches(text, '[0-9]+') AS has_number FROM documents")
+@query("SELECT doc_id, array_to_string(regexp_extract_all(text, '\\p{Nd}+'), ',') AS digits, regexp_matches(text, '\\p{Nd}') AS has_number FROM documents")
 def F10_F13_digits_extract(spark, d):
     return read(spark, d, "documents").select("doc_id", F.array_join(text.digit_runs(F.col("text")), ",").alias("digits"), text.has_number(F.col("text")).alias("has_number"))
 
 
-@query("SELECT DISTINCT unnest(regexp_extract_all(text, '[0-9]+')) AS digits FROM documents")
+@query("SELECT DISTINCT unnest(regexp_extract_all(text, '\\p{Nd}+')) AS digits FROM documents")
 def A16_unique_digits(spark, d):
     return read(spark, d, "documents").select(F.explode(text.digit_runs(F.col("text"))).alias("digits")).distinct()
 
@@ -204,6 +204,21 @@ def A12_error_rates(spark, d):
     return scores.error_rates(turns.join(after, ["conv_id", "turn"]), F.col("text"), F.col("other"), ["role"])
 
 
+#: Distances of two lists by rows of the table: a row's places are the least of what comes from above and what comes from the left.
+DISTANCE = """{0} AS (SELECT k, CAST(0 AS BIGINT) AS i, list_transform(range(len({1}) + 1), lambda j: CAST(j AS BIGINT)) AS d, {2}, {1} FROM n UNION ALL
+SELECT k, i, list_transform(range(len(t)), lambda j: list_min(list_transform(t[1:j + 1], lambda x, h: x - h)) + j + 1) AS d, {2}, {1} FROM (
+SELECT k, i + 1 AS i, {2}, {1}, list_transform(range(len({1}) + 1), lambda j: CASE WHEN j = 0 THEN i + 1 ELSE least(d[j + 1] + 1, d[j] + CASE WHEN {2}[i + 1] = {1}[j] THEN 0 ELSE 1 END) END) AS t FROM {0} WHERE i < len({2})))"""
+
+
+@query(f"""WITH RECURSIVE n AS (SELECT a.p_partkey AS k, string_split(a.p_name, '') AS ca, string_split(b.p_name, '') AS cb, list_filter(string_split(a.p_name, ' '), lambda w: w <> '') AS wa, list_filter(string_split(b.p_name, ' '), lambda w: w <> '') AS wb FROM part a JOIN part b ON a.p_partkey + 1 = b.p_partkey),
+{DISTANCE.format("rc", "cb", "ca")}, {DISTANCE.format("rw", "wb", "wa")}
+SELECT p_brand, CAST(sum(rc.d[-1]) AS DOUBLE) / sum(len(n.ca)) AS cer, CAST(sum(rw.d[-1]) AS DOUBLE) / sum(len(n.wa)) AS wer FROM part JOIN n ON p_partkey = n.k JOIN rc ON rc.k = n.k AND rc.i = len(n.ca) JOIN rw ON rw.k = n.k AND rw.i = len(n.wa) GROUP BY 1""")
+def A12_F20_F21_name_errors(spark, d):
+    parts = read(spark, d, "part")
+    after = parts.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("other"))
+    return scores.error_rates(parts.join(after, "p_partkey"), F.col("p_name"), F.col("other"), ["p_brand"])
+
+
 @query("SELECT lang, count(*) AS sentences, count(DISTINCT source) AS speakers, round_even(CAST(sum(n_chars) AS DOUBLE) / 3600, 2) AS hours FROM documents GROUP BY lang")
 def A04_A05_corpus_summary(spark, d):
     return scores.corpus_summary(read(spark, d, "documents"), "lang", F.col("source"), F.col("n_chars"))
@@ -388,6 +403,32 @@ def J06_A09_fingerprint_match(spark, d):
     return _matches(spark, d)
 
 
+@query(f"SELECT * FROM ({MATCHED}) WHERE confidence >= 0.1")
+def J06_confident_match(spark, d):
+    asked = fingerprints.index(read(spark, d, "documents"), "doc_id", F.split("text", " "))
+    return fingerprints.match(asked, _index(spark, d), 0.1)
+
+
+KEPT = "SELECT min(CAST(item_id AS VARCHAR)) AS song_name, string_split(text, ' ') AS t FROM benchmark GROUP BY text"
+
+
+@query(f"""SELECT song_name, CAST(i - 1 AS INT) AS "offset", md5(array_to_string(t[i:i + 2], ' ')) AS hash, CAST(greatest(len(t) - 2, 0) AS BIGINT) AS total_hashes FROM (SELECT *, unnest(range(1, len(t) - 1)) AS i FROM ({KEPT}))""")
+def D04_S14_growing_index(spark, d):
+    at = shared.shared_path(spark, "songs")
+    songs = read(spark, d, "benchmark").select("item_id", F.split("text", " ").alias("tokens"))
+    index = song_index.SongIndex(spark, at, buckets=16)
+    for more in (songs.filter("item_id % 2 = 0"), songs, songs):  # what is there isn't added again
+        index.add(more, "item_id", "tokens")
+    index.forget()
+    index = song_index.SongIndex(spark, at, buckets=16)  # as another session opens it
+    words = fingerprints.index(songs.select("item_id", "tokens"), "item_id", "tokens", digest=F.md5).select(F.col("song_id").cast("string").alias("song_name"), "offset", "hash")
+    known = index.fingerprints().join(index.songs(), "song_id").select("song_name", "offset", "total_hashes")
+    found = shared.cut(known.join(words, ["song_name", "offset"]))
+    index.forget()
+    shared.remove(spark, at)
+    return found
+
+
 @query(f"SELECT query_id, max(confidence) AS best, max(confidence) >= 0.3 AS is_duplicate FROM ({MATCHED}) WHERE query_id <> song_id GROUP BY 1")
 def D06_mark_duplicates(spark, d):
     return fingerprints.duplicates(_matches(spark, d), 0.3)
@@ -426,10 +467,13 @@ def J08_find_duplicates_wide(spark, d):
     return wide.select("doc_id", *(plain(f"matched_files_{n}") for n in names), *(shown(f"confidences_{n}") for n in names), F.col("error_p1_2016").alias("error"))
 
 
-@query("SELECT channel, year, name FROM (VALUES ('p1', 2014, 'p1_2014_2015'), ('p1', 2016, 'p1_2016'), ('r24', 2015, 'r24_2015')) AS t(channel, year, name)")
+@query("""WITH a AS (SELECT DISTINCT lang AS channel, CAST(2012 + doc_id % 6 AS INT) AS year FROM documents), n AS (SELECT DISTINCT lang || '_' || (2014 + doc_id % 2 * 2) || '_' || (2015 + doc_id % 2 * 2) AS name FROM documents)
+SELECT channel, year, name FROM a JOIN n ON regexp_matches(name, channel || '_.*' || year)""")
 def F28_index_names(spark, d):
-    asked = spark.createDataFrame([("p1", 2014), ("p1", 2016), ("r24", 2015), ("r24", 1999)], "channel string, year int")
-    return fingerprints.index_names(asked, spark.createDataFrame([("p1_2014_2015",), ("p1_2016",), ("r24_2015",)], "name string"))
+    rows = read(spark, d, "documents")
+    first = (2014 + F.col("doc_id") % 2 * 2).cast("int")
+    asked = rows.select(F.col("lang").alias("channel"), (2012 + F.col("doc_id") % 6).cast("int").alias("year"))
+    return fingerprints.index_names(asked, rows.select(F.concat_ws("_", "lang", first, first + 1).alias("name")))
 
 
 @query("""SELECT item_id, part, min(doc_id) AS first_match, count(*) AS n_matches FROM (SELECT item_id, text AS part FROM benchmark) JOIN documents ON contains(text, part) GROUP BY 1, 2""")
@@ -438,6 +482,13 @@ def J07_match_lookup(spark, d):
     return reruns.first_match(parts, read(spark, d, "documents").select("doc_id", F.col("text").alias("body")), "body", "part", "doc_id")
 
 
+@query("""SELECT item_id, part, min(doc_id) AS first_match, count(*) AS n_matches FROM (SELECT item_id, array_to_string(string_split(text, ' ')[1:2], ' ') AS part FROM benchmark UNION ALL SELECT -1, '.' UNION ALL SELECT -2, '(a' UNION ALL SELECT -3, '') JOIN documents ON contains(text, part) GROUP BY 1, 2""")
+def J07_F25_short_parts(spark, d):
+    parts = read(spark, d, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 2), " ").alias("part"))
+    parts = parts.union(readers.literal(spark, [(-1, "."), (-2, "(a"), (-3, "")], "item_id long, part string"))
+    return reruns.first_match(parts, read(spark, d, "documents").select("doc_id", F.col("text").alias("body")), "body", "part", "doc_id")
+
+
 @query("SELECT DISTINCT n_name AS dataset, p_brand AS model FROM nation, part")
 def J10_model_dataset_grid(spark, d):
     return scores.grid(read(spark, d, "nation").select(F.col("n_name").alias("dataset")), read(spark, d, "part").select(F.col("p_brand").alias("model")).distinct())
@@ -448,17 +499,80 @@ def P19_metrics_flatten(spark, d):
     return scores.flattened(read(spark, d, "labels").select("doc_id", F.create_map(F.lit("quality"), "quality", F.lit("toxic"), "toxic").alias("m")), "doc_id", "m")
 
 
-@query("SELECT path, count(*) AS n FROM (SELECT string_split(url, '/')[3] AS path FROM pages) GROUP BY 1 HAVING count(*) > 1")
-def P20_output_collision(spark, d):
-    return manifests.collisions(read(spark, d, "pages").select(F.element_at(F.split("url", "/"), 3).alias("path")), "path")
-
-
 def _written(spark, name, write):
     """What `write` puts at a fresh place of the shared folder, which is given back."""
     write(at := shared.shared_path(spark, name))
     return at
 
 
+def _files(spark, d, name, rows):
+    """The folder of a text file for each of `rows` of documents, by language."""
+    texts = rows.select(F.concat("lang", F.lit("/"), "doc_id", F.lit(".txt")).alias("path"), F.encode("text", "utf-8").alias("content"))
+    return _written(spark, name, lambda at: files.write_files(texts, at))
+
+
+@query("WITH r AS (SELECT doc_id // 2 AS k, count(*) AS n FROM documents WHERE doc_id % 5 <> 0 GROUP BY 1), e AS (SELECT doc_id AS k FROM documents WHERE doc_id % 3 = 0) SELECT 'd' || r.k || '.txt' AS path, n, e.k IS NOT NULL AS exists FROM r LEFT JOIN e ON r.k = e.k WHERE n > 1 OR e.k IS NOT NULL")
+def P20_output_collision(spark, d):
+    rows = read(spark, d, "documents")
+    at = _files(spark, d, "outputs", rows.filter("doc_id % 3 = 0"))
+    existing = readers.listing(spark, at, "*.txt").select(F.concat(F.lit("d"), "filename").alias("path"))
+    return manifests.collisions(rows.filter("doc_id % 5 != 0").select(F.concat(F.lit("d"), F.expr("doc_id div 2"), F.lit(".txt")).alias("path")), "path", existing)
+
+
+@query("SELECT lang AS folder, doc_id || '.txt' AS filename FROM documents")
+def S08_S10_listing(spark, d):
+    return readers.listing(spark, _files(spark, d, "listed", read(spark, d, "documents")), "*.txt").select("folder", "filename")
+
+
+@query("SELECT c_custkey, c_name, CASE c_mktsegment WHEN 'BUILDING' THEN 'b' WHEN 'MACHINERY' THEN 'm' END AS short FROM customer")
+def S16_literal_rows(spark, d):
+    names = readers.literal(spark, [("BUILDING", "b"), ("MACHINERY", "m")], "c_mktsegment string, short string")
+    return read(spark, d, "customer").join(F.broadcast(names), "c_mktsegment", "left").select("c_custkey", "c_name", "short")
+
+
+@query("SELECT doc_id AS id, 'document' AS kind FROM documents UNION ALL SELECT page_id, 'page' FROM pages")
+def U02_union_all(spark, d):
+    one, other = read(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lit("document").alias("kind")), read(spark, d, "pages").select("page_id", F.lit("page"))
+    return one.union(other)
+
+
+@query(r"""SELECT string_agg(line, chr(10) ORDER BY o, line) AS shown FROM (SELECT 0 AS o, '\begin{tabular}{ll}' AS line UNION ALL SELECT 1, '\toprule' UNION ALL SELECT 2, 'region & nations \\' UNION ALL SELECT 3, '\midrule'
+UNION ALL SELECT 4, r_name || ' & ' || count(*) || ' \\' FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name UNION ALL SELECT 5, '\bottomrule' UNION ALL SELECT 6, '\end{tabular}')""")
+def K07_O01_latex_table(spark, d):
+    regions = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = regions.groupBy(F.col("r_name").alias("region")).agg(F.count("*").alias("nations")).orderBy("region")
+    return readers.literal(spark, [(scores.latex(rows),)], "shown string")
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k, CASE WHEN event_type = 'click' THEN value END AS click, CASE WHEN event_type = 'view' THEN value END AS view FROM events")
+def S02_F39_dynamic_keys(spark, d):
+    rows = read(spark, d, "events")
+    held = F.map_concat(F.create_map("event_type", F.col("value").cast("string")), F.create_map(F.lit("k"), F.get_json_object("props", "$.k")))
+    parts = F.transform(F.map_entries(held), lambda e: F.concat(F.lit('"'), e.key, F.lit('": '), e.value))
+    lines = rows.select(F.concat(F.lit('{"event_id": '), "event_id", F.lit(', "metadata": {'), F.array_join(parts, ", "), F.lit("}}")).alias("value"))
+    found = readers.json_objects(spark, _written(spark, "keyed", lines.write.text), "metadata")
+    return found.select("event_id", F.col("k").cast("int").alias("k"), F.col("click").cast("double").alias("click"), F.col("view").cast("double").alias("view"))
+
+
+PLANTED = "SELECT doc_id, 'm/' || doc_id || CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 11 = 0 THEN chr(9) || 'x' ELSE chr(9) || n_chars END AS line FROM documents"
+
+
+@query(f"""SELECT count_if(doc_id % 7 <> 0 AND doc_id % 11 <> 0) AS n_all, count_if(doc_id % 7 <> 0 AND doc_id % 11 <> 0 AND quality IS NOT NULL) AS n_processed, count_if(doc_id % 7 <> 0 AND doc_id % 11 <> 0 AND quality IS NULL) AS n_pending, count_if(doc_id % 7 = 0 OR doc_id % 11 = 0) AS n_quarantined
+FROM ({PLANTED}) LEFT JOIN labels USING (doc_id)""")
+def P16_quarantined_audit(spark, d):
+    tail = F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 11 == 0, "\tx").otherwise(F.concat(F.lit("\t"), "n_chars"))
+    at = _written(spark, "keep", read(spark, d, "documents").select(F.concat(F.lit("m/"), "doc_id", tail)).write.text)
+    rows, bad = readers.checked(spark, at, "file_path string, n_samples long")
+    return reruns.audit(rows, read(spark, d, "labels").select(F.col("doc_id").cast("string").alias("name")), quarantine=bad)
+
+
+@query(f"SELECT line, CASE WHEN doc_id % 7 = 0 THEN '1 fields of 2' ELSE 'a field of another type' END AS reason FROM ({PLANTED}) WHERE doc_id % 7 = 0 OR doc_id % 11 = 0")
+def P16_quarantine(spark, d):
+    tail = F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 11 == 0, "\tx").otherwise(F.concat(F.lit("\t"), "n_chars"))
+    at = _written(spark, "keep", read(spark, d, "documents").select(F.concat(F.lit("m/"), "doc_id", tail)).write.text)
+    return readers.checked(spark, at, "file_path string, n_samples long")[1].select("line", "reason")
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")
 def S01_S02_jsonl_unnest(spark, d):
     rows = read(spark, d, "events").select("event_id", F.from_json("props", "k int").alias("metadata"))
@@ -504,6 +618,23 @@ def S12_F40_K06_recordings(spark, d):
     return readers.decoded(writers.wav_files(rows), readers.speech).select(F.col("path").cast("long").alias("doc_id"), "rate", "n_samples", F.md5("samples").alias("samples"))
 
 
+@query("SELECT doc_id, 16000 AS rate, CAST((octet_length(encode(text)) + 1) // 2 AS BIGINT) AS n_samples, md5(text || CASE WHEN octet_length(encode(text)) % 2 = 1 THEN ' ' ELSE '' END) AS samples FROM documents")
+def K06_file_sink(spark, d):
+    raw = F.concat(F.encode("text", "utf-8"), F.when(F.octet_length("text") % 2 == 1, F.encode(F.lit(" "), "utf-8")).otherwise(F.encode(F.lit(""), "utf-8")))
+    rows = read(spark, d, "documents").select(F.concat("lang", F.lit("/"), "doc_id", F.lit(".wav")).alias("path"), raw.alias("samples"))
+    found = readers.recordings(spark, _written(spark, "recordings", lambda at: writers.audio_files(rows, at)), readers.wav)
+    return found.select(paths.stem(paths.basename(F.col("path"))).cast("long").alias("doc_id"), "rate", "n_samples", F.md5("samples").alias("samples"))
+
+
+@query("SELECT doc_id, CAST(ceil(n_chars * 16000 / 44100.0) AS BIGINT) AS n_samples, CASE WHEN n_chars > 0 THEN md5(repeat(chr(CAST(65 + doc_id % 26 AS INT)) || chr(CAST(97 + doc_id % 26 AS INT)), CAST(ceil(n_chars * 16000 / 44100.0) AS INT))) ELSE md5('') END AS samples FROM documents")
+def S12_F34_resampled(spark, d):
+    """Recordings of one value at 44.1 kHz keep it, and have the new rate's length."""
+    level = F.concat(F.char(65 + F.col("doc_id") % 26), F.char(97 + F.col("doc_id") % 26))
+    rows = read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode(F.repeat(level, F.col("n_chars").cast("int")), "utf-8").alias("samples"))
+    found = readers.decoded(writers.wav_files(rows, 44_100), readers.speech)
+    return found.select(F.col("path").cast("long").alias("doc_id"), "n_samples", F.md5("samples").alias("samples"))
+
+
 @query(f"SELECT song_id, CAST(\"offset\" AS INT) AS \"offset\", hash FROM ({{INDEXED}}) WHERE song_id % 3 = 1".replace("{INDEXED}", """SELECT item_id AS song_id, i - 1 AS "offset", md5(array_to_string(string_split(text, ' ')[i:i + 2], ' ')) AS hash FROM (SELECT *, unnest(range(1, len(string_split(text, ' ')) - 1)) AS i FROM benchmark)"""))
 def K08_S11_D02_index_folders(spark, d):
     rows = _index(spark, d, F.md5).withColumn("channel", F.concat(F.lit("c"), F.col("song_id") % 3))
@@ -548,9 +679,12 @@ def K10_flag_report(spark, d):
     return scores.report(_flagged(spark, d), "is_doms_rerun")
 
 
-@query("SELECT doc_id, text FROM documents")
+@query("SELECT lang AS folder, doc_id, text FROM documents")
 def F24_bytes_decode(spark, d):
-    return read(spark, d, "documents").select("doc_id", readers.utf8(F.encode("text", "utf-8")).alias("text"))
+    at = _files(spark, d, "bytes", read(spark, d, "documents"))
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(at)
+    name = F.regexp_replace(paths.basename(F.col("path")), "[.]txt$", "").cast("long")
+    return rows.select(paths.parent(F.col("path")).alias("folder"), name.alias("doc_id"), readers.utf8(F.col("content")).alias("text"))
 
 
 @query("SELECT CAST(ts AS DATE) AS day, round(avg(value) FILTER (event_type = 'click'), 6) AS click, round(avg(value) FILTER (event_type = 'view'), 6) AS view, count(*) AS n FROM events GROUP BY 1")

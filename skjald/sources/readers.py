@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skjald.functions import paths
+from skjald.functions.resampling import resample
+from skjald.sources.shared import cut
 
 
 def json_lines(spark: SparkSession, at: str | list[str], schema: StructType | str, nested: str | None = None) -> DataFrame:
@@ -21,6 +23,61 @@ def json_lines(spark: SparkSession, at: str | list[str], schema: StructType | st
     return rows.select(f"{nested}.*", *[c for c in rows.columns if c != nested]) if nested else rows
 
 
+#: Keys that JSON objects may have together; each becomes a column.
+KEYS = 10_000
+SCALARS = ("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN", "STRING", "DATE", "TIMESTAMP", "DECIMAL")
+
+
+def object_keys(values: DataFrame, value: str, most: int = KEYS) -> dict[str, str]:
+    """The keys that the objects of the variant column `value` have anywhere, and the type of all that stands there, by one aggregate."""
+    keyed = values.select(F.col(value).alias("v"), F.explode(F.json_object_keys(F.to_json(value))).alias("key"))
+    held = F.try_variant_get("v", F.concat(F.lit("$['"), "key", F.lit("']")), "variant")
+    found = keyed.groupBy("key").agg(F.schema_of_variant_agg(held).alias("kind")).orderBy("key").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"the objects have more than {most} keys")
+    return {row.key: row.kind for row in found}
+
+
+def key_columns(value: str, kinds: dict[str, str]) -> list[Column]:
+    """A column for each key: of its type if that is a scalar one, else JSON text; null where an object lacks it."""
+    columns = []
+    for key, kind in kinds.items():
+        path = f"$['{key}']"
+        scalar = kind.startswith(SCALARS)
+        held = F.try_variant_get(value, F.lit(path), kind if scalar else "variant")
+        columns.append((held if scalar else F.to_json(held)).alias(key))
+    return columns
+
+
+def json_objects(spark: SparkSession, at: str | list[str], nested: str | None = None) -> DataFrame:
+    """JSON lines whose keys aren't known before: the union of all files' keys as columns.
+
+    The keys of the object `nested` become columns before the others. Lines that are no
+    object have no row; keys that stand on both levels are an error, as one would hide the other."""
+    rows = spark.read.text(at).select(F.try_parse_json("value").alias("__line")).filter("schema_of_variant(__line) LIKE 'OBJECT%'")
+    outer = object_keys(rows, "__line")
+    if nested is None:
+        return rows.select(key_columns("__line", outer))
+    outer.pop(nested, None)
+    rows = rows.withColumn("__nested", F.try_variant_get("__line", F.lit(f"$['{nested}']"), "variant"))
+    inner = object_keys(rows.filter("schema_of_variant(__nested) LIKE 'OBJECT%'"), "__nested")
+    if both := sorted(set(inner) & set(outer)):
+        raise ValueError(f"keys on both levels: {', '.join(both)}")
+    return rows.select(*key_columns("__nested", inner), *key_columns("__line", outer))
+
+
+def checked(spark: SparkSession, at: str, schema: str, sep: str = "\t") -> tuple[DataFrame, DataFrame]:
+    """Rows of delimited lines without names that fit the schema, and the quarantine: file, line and reason of the others."""
+    names = [field.name for field in StructType.fromDDL(schema)]
+    read = spark.read.schema(f"{schema}, __line string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__line").csv(at, sep=sep)
+    # The reader can't give its column of bad lines alone: what it found is kept once for both tables.
+    rows = cut(read.select(*names, "__line", F.col("_metadata.file_path").alias("__file")))
+    parts = F.size(F.split("__line", F.lit(f"\\Q{sep}\\E"), -1))
+    reason = F.when(parts != len(names), F.concat(parts.cast("string"), F.lit(f" fields of {len(names)}"))).otherwise("a field of another type")
+    bad = rows.filter("__line IS NOT NULL").select(F.col("__file").alias("file"), F.col("__line").alias("line"), reason.alias("reason"))
+    return rows.filter("__line IS NULL").select(*names), bad
+
+
 def status(spark: SparkSession, at: str, skip_first: bool = False) -> DataFrame:
     """Tab-separated id and status without names; the first line is left out on request."""
     return spark.read.csv(at, sep="\t", header=skip_first, schema="id string, status string", enforceSchema=True)
@@ -75,19 +132,11 @@ def wav(content: bytes) -> tuple[int, bytes]:
 
 
 def speech(content: bytes, rate: int = 16_000) -> tuple[int, bytes]:
-    """A WAV file's samples at 16 kHz: the mean of what a new sample stands for where there are more old ones, else between its neighbours."""
+    """A WAV file's samples at 16 kHz, by a filter that keeps what the new rate can hold."""
     old, raw = wav(content)
     if old == rate:
         return old, raw
-    x = np.frombuffer(raw, "<i2").astype(np.float64)
-    n = -(-len(x) * rate // old)
-    if old > rate:
-        upto = np.append(0.0, np.cumsum(x))
-        edges = np.interp(np.arange(n + 1) * old / rate, np.arange(len(x) + 1), upto)
-        wide = np.maximum(np.diff(np.minimum(np.arange(n + 1) * old / rate, len(x))), 1e-9)
-        y = np.diff(edges) / wide
-    else:
-        y = np.interp(np.arange(n) * old / rate, np.arange(len(x)), x) if len(x) else x
+    y = resample(np.frombuffer(raw, "<i2"), old, rate)
     return rate, np.clip(np.rint(y), -32768, 32767).astype("<i2").tobytes()
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -25,3 +25,18 @@ def remove(spark: SparkSession, path: str) -> None:
     """Deletes a table that was written to the shared folder."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def made(spark: SparkSession, path: str) -> str:
+    """The folder, which is there from now on."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """`df` with its lineage cut by a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_root(df.sparkSession))
+    return df.checkpoint()

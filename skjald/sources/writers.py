@@ -10,14 +10,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skjald.sources.files import write_files
+
 
 def delimited(rows: DataFrame, to: str, sep: str = ",", header: bool = True) -> None:
     rows.write.option("header", header).option("sep", sep).csv(to)
 
 
 def segment_tables(lines: DataFrame, to: str, key: str) -> None:
-    """A folder for each file, with a line for each of its segments."""
-    lines.repartition(key).sortWithinPartitions(key).write.partitionBy(key).text(to)
+    """A folder for each file, with a line for each of its segments, in the order of their numbers where `lines` has seg_id beside key and line."""
+    order = [c for c in ("seg_id", "line") if c in lines.columns]
+    lines.repartition(key).sortWithinPartitions(key, *order).select(key, "line").write.partitionBy(key).text(to)
 
 
 def manifest(lines: DataFrame, to: str, root: str) -> None:
@@ -55,6 +58,11 @@ def wav_files(segments: DataFrame, rate: int = 16_000) -> DataFrame:
     return segments.select("path", "samples").mapInPandas(run, "path string, content binary")
 
 
+def audio_files(segments: DataFrame, to: str, rate: int = 16_000, overwrite: bool = False) -> None:
+    """A WAV file below `to` for each segment, at its path; none is seen before all are written."""
+    write_files(wav_files(segments, rate), to, overwrite)
+
+
 def index(rows: DataFrame, to: str, by: list[str]) -> None:
-    """A fingerprint index in folders such as channel and year, sorted by hash for pruning."""
-    rows.repartition(*by, F.pmod(F.hash("hash"), F.lit(64))).sortWithinPartitions("hash").write.partitionBy(*by).mode("overwrite").parquet(to)
+    """A fingerprint index in folders such as channel and year, sorted by hash for pruning; folders of `rows` are replaced, others stay."""
+    rows.repartition(*by, F.pmod(F.hash("hash"), F.lit(64))).sortWithinPartitions("hash").write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(to)

@@ -46,9 +46,11 @@ def test_word_distance(spark):
                 row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
         return row[-1]
 
-    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a array<string>, b array<string>")
-    found = [r.d for r in rows.select("i", text.word_distance(F.col("a"), F.col("b")).alias("d")).orderBy("i").collect()]
-    assert found == [distance(a, b) for a, b in pairs]
+    rows = spark.createDataFrame([(i, " ".join(a), " ".join(b)) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    found = scores.edit_counts(rows, F.col("a"), F.col("b"), ["i"]).orderBy("i").collect()
+    assert [r.word_substitutions + r.word_insertions + r.word_deletions for r in found] == [distance(a, b) for a, b in pairs]
+    assert [r.char_substitutions + r.char_insertions + r.char_deletions for r in found] == [distance(" ".join(a), " ".join(b)) for a, b in pairs]
+    assert all(r.word_insertions - r.word_deletions == len(b) - len(a) for r, (a, b) in zip(found, pairs, strict=True))
 
 
 def test_paths(spark):
@@ -188,9 +190,9 @@ def test_speech_is_mono_at_16_khz():
     rate, raw = readers.speech(wav_of(2, 2, 44_100, np.repeat(x, 2).astype("<i2").tobytes()))
     y = np.frombuffer(raw, "<i2")
     assert (rate, len(y)) == (16_000, 16_000)
-    assert np.abs(y - 10_000 * np.sin(2 * np.pi * 200 * (np.arange(16_000) + 0.5) / 16_000)).max() < 200
+    assert np.abs(y - 10_000 * np.sin(2 * np.pi * 200 * np.arange(16_000) / 16_000))[100:-100].max() < 5  # and no delay
     up = np.frombuffer(readers.speech(wav_of(1, 1, 8_000, bytes([128, 192, 128])))[1], "<i2")
-    assert up.tolist() == [0, 8192, 16384, 8192, 0, 0]
+    assert len(up) == 6 and np.abs(up[::2] - np.array([0, 16384, 0])).max() < 1100  # a filter whose edge is below the old half rate
     assert readers.speech(wav_of(1, 3, 16_000, b"\x01\x02\x03"))[1] == b"\x02\x03"
     assert readers.speech(wav_of(1, 2, 22_050, b""))[1] == b""
 
