@@ -153,5 +153,6 @@ def repeated(docs: DataFrame, copies: Column) -> DataFrame:
 
 
 def ranked(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Numbers the rows that agree in `key` from 1 in `__rank`, in no order."""
-    return rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
+    """Numbers the rows that agree in `key` from 1 in `__rank`, by a digest of all of their columns that can be compared, so that reruns agree."""
+    digest = F.xxhash64(*(f.name for f in rows.schema if f.dataType.typeName() not in ("map", "variant")))
+    return rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*key).orderBy(digest)))

@@ -128,7 +128,9 @@ def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of `docs` with their secrets redacted and `length_col`, if there is one, renewed."""
     found = scan(docs, SCOPE, id_col, text_col).filter(F.size("spans") > 0).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans")).distinct()
     key = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__digest"))
-    rows = docs.join(F.broadcast(found) if found.limit(BROADCAST_FOUND + 1).count() <= BROADCAST_FOUND else found, key, "left")
+    found = cut(found)
+    many = found.agg(F.sum(F.size("__spans") + 2)).first()[0] or 0
+    rows = docs.join(F.broadcast(found) if many <= BROADCAST_SPANS else found, key, "left")
     hit = F.col("__spans").isNotNull()
     rows = rows.withColumn("__redacted", F.when(hit, redacted(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col)))
     changed = {text_col: F.col("__redacted")}
@@ -137,5 +139,5 @@ def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 
-#: Documents with secrets up to which their spans are broadcast.
-BROADCAST_FOUND = 100_000
+#: Spans, and as much for two of them for each document, up to which they are broadcast: some 10 MB.
+BROADCAST_SPANS = 300_000
