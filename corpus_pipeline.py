@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skjald.llm import bpe, minhash, mixing, secrets, toxicity
-from skjald.llm.common import cut, shared_path, table
+from skjald.llm.common import cut, remove, shared_path, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,9 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         at = shared_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(at)
-        docs = spark.read.parquet(at)
+        if before:  # nothing reads it any more
+            remove(spark, before)
+        docs, before = spark.read.parquet(at), at
     return docs
