@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skjald.operators.reruns import sized
-from skjald.sources.shared import cut
+from skjald.sources.shared import cut, sized
 
 
 def index(songs: DataFrame, key: str, tokens: str | Column, size: int = 3, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:

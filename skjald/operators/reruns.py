@@ -15,15 +15,7 @@ from pyspark.sql import functions as F
 
 from skjald.functions import paths
 from skjald.operators import segments
-from skjald.sources.shared import cut
-
-#: Rows of a catalogue or status table up to which it is broadcast.
-BROADCAST_ROWS = 100_000
-
-
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a side of a join for broadcast if its counted rows are few."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+from skjald.sources.shared import cut, sized
 
 
 def mentions(text: Column, phrases: list[str], literal: bool = False, null_is_match: bool = False) -> Column:

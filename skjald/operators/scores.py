@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skjald.functions import edits, paths
-from skjald.operators.reruns import sized
+from skjald.sources.shared import sized
 
 
 UNITS = ("char", "word")

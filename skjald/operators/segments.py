@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -11,10 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skjald.functions import draws
+from skjald.sources.shared import cut, sized
 
 # Samples a second, of a window and from window to window, and shares of the threshold.
 RATE, WINDOW, STEP = 16_000, 4_000, 200
 SHARE, ABOVE = 0.89, 0.08
+#: Values of a file that are sorted where they meet, and bins of a pass over more.
+FEW, BINS = 20_000, 4_096
 #: Means that are nearer to a level than this are equal to it, in whatever order they were summed.
 NEAR = 1e-12
 
@@ -43,9 +47,57 @@ def smoothed(probs: DataFrame, key: str = "file_id", back: int = WINDOW // STEP)
     return probs.withColumn("sp", F.max("p").over(Window.partitionBy(key).orderBy("i").rowsBetween(1 - back, 0)))
 
 
+def _between(rows: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
+    """The rows whose value `v` is within their key's range, with the range and the rank that is looked for."""
+    return rows.join(sized(ranges), key).filter("v BETWEEN lo AND hi")
+
+
+def _narrowed(rows: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
+    """One pass: counts in BINS bins of each range; the bin that holds the rank is the new range, from its least to its greatest value."""
+    width = F.col("hi") / 2 - F.col("lo") / 2  # halves, so that no difference overflows
+    share = F.when(width > 0, (F.col("v") / 2 - F.col("lo") / 2) / width).otherwise(0.0)
+    bins = _between(rows, ranges, key).groupBy(key, "rank", F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin")).agg(F.count("*").alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    before = F.sum("m").over(Window.partitionBy(key).orderBy("bin")) - F.col("m")
+    held = bins.withColumn("before", before).filter("before <= rank AND rank < before + m")
+    return cut(held.select(key, "lo", "hi", (F.col("rank") - F.col("before")).alias("rank"), "m"))
+
+
+def middle_values(probs: DataFrame, key: str, value: str, few: int = FEW) -> DataFrame:
+    """key, lower and upper: both values in the middle of each key's values, which are one if their number is odd. Nulls don't count.
+
+    Up to `few` values of a key are sorted where they meet. For more, the range that holds the
+    middle is narrowed by passes that count values in bins, until it has one value or few
+    enough are left: partial sums are all that is shuffled, and no buffer grows with a file."""
+    rows = probs.select(key, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
+    ranges = cut(rows.groupBy(key).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("m")).withColumn("n", F.col("m")))
+    if (ranges.agg(F.max("n")).first()[0] or 0) <= few:
+        vs = rows.groupBy(key).agg(F.sort_array(F.collect_list("v")).alias("vs"))
+        at = lambda k: F.get("vs", F.expr(f"(size(vs) - {k}) div 2").cast("int"))
+        return vs.select(key, at(1).alias("lower"), at(0).alias("upper"))
+    sizes = ranges.select(key, "n")
+    open_ranges, settled = ranges.withColumn("rank", F.expr("(n - 1) div 2")).select(key, "lo", "hi", "rank", "m"), []
+    while True:
+        done = (F.col("lo") == F.col("hi")) | (F.col("m") <= few)
+        settled.append(open_ranges.filter(done))
+        open_ranges = open_ranges.filter(~done)
+        if open_ranges.isEmpty():
+            break
+        open_ranges = _narrowed(rows, open_ranges, key)
+    found = reduce(DataFrame.union, settled)
+    one = found.filter("lo = hi").select(key, F.col("lo").alias("lower"))
+    some = _between(rows, found.filter("lo < hi"), key).groupBy(key).agg(F.sort_array(F.collect_list("v")).alias("vs"), F.first("rank").alias("rank"))
+    lower = cut(one.union(some.select(key, F.get("vs", F.col("rank").cast("int")))))
+    above = F.min(F.when(F.col("v") > F.col("lower"), F.col("v"))).alias("above")
+    around = rows.join(sized(lower), key).groupBy(key, "lower").agg(F.count_if(F.col("v") <= F.col("lower")).alias("upto"), above).join(sized(sizes), key)
+    upper = F.when((F.col("n") % 2 == 1) | (F.col("upto") > F.expr("n div 2")), F.col("lower")).otherwise(F.col("above"))
+    return around.select(key, "lower", upper.alias("upper"))
+
+
 def thresholds(probs: DataFrame, key: str = "file_id") -> DataFrame:
     """By file, from the lower median of its probabilities."""
-    return probs.groupBy(key).agg(F.expr(f"{SHARE}D * percentile_disc(0.5) within group (order by p) + {ABOVE}D").alias("thr"), F.max("i").alias("last"))
+    last = probs.groupBy(key).agg(F.max("i").alias("last"))
+    middle = middle_values(probs, key, "p").select(key, (F.lit(SHARE) * F.col("lower") + F.lit(ABOVE)).alias("thr"))
+    return last.join(middle, key).select(key, "thr", "last")
 
 
 def voice_segments(probs: DataFrame, key: str = "file_id", step: int = STEP, back: int = WINDOW // STEP, bridge: int = 15, shortest: int = 10_000) -> DataFrame:
@@ -75,7 +127,7 @@ def padded(segments: DataFrame, key: str = "file_id", pad: int = 2_000) -> DataF
 
 def levels(probs: DataFrame, key: str = "file_id") -> DataFrame:
     """By file, the level that speech exceeds: from the median of all its probabilities, the mean of the middle two where their number is even."""
-    return probs.groupBy(key).agg((F.lit(SHARE) * F.median("p") + ABOVE).alias("level"))
+    return middle_values(probs, key, "p").select(key, (F.lit(SHARE) * (0.5 * F.col("lower") + 0.5 * F.col("upper")) + ABOVE).alias("level"))
 
 
 class SpeechBuffer:

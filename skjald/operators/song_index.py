@@ -19,8 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skjald.operators import fingerprints
-from skjald.operators.reruns import sized
-from skjald.sources.shared import cut, made, remove
+from skjald.sources.shared import cut, made, remove, sized
 
 #: Buckets of the hashes: a search has as many tasks at least. Choose some 100 MB of hashes a bucket.
 BUCKETS = 64

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skjald.functions import edits, resampling
-from skjald.operators import fingerprints, manifests, reruns, scores, song_index
+from skjald.operators import fingerprints, manifests, reruns, scores, segments, song_index
 from skjald.sources import files, readers, writers
 
 
@@ -210,3 +210,13 @@ def test_short_parts_are_literal(spark):
 def test_collisions_with_what_exists(spark):
     rows, there = (spark.createDataFrame([(p,) for p in ps], "path string") for ps in (["a", "a", "b", "c"], ["b", "z"]))
     assert sorted(map(tuple, manifests.collisions(rows, "path", there).collect())) == [("a", 2, False), ("b", 1, True)]
+
+
+@pytest.mark.parametrize("few", [3, 10_000])
+def test_middle_values(spark, few):
+    """Ties, one value, even and odd numbers, a wide range of magnitudes."""
+    rng = random.Random(few)
+    values = {1: [0.5], 2: [1.0, 2.0], 3: [rng.random() for _ in range(999)], 4: [rng.choice([0.1, 0.2]) for _ in range(100)], 5: [10.0 ** rng.choice([-300, -100, 0, 100, 300]) * rng.choice([-1, 1]) for _ in range(501)], 6: [7.0] * 50, 7: [-1e308, 1e308], 8: [0.0] * 50 + [1.0] * 50}
+    frame = spark.createDataFrame([(k, i, v) for k, vs in values.items() for i, v in enumerate(vs)] + [(1, 9, None), (9, 0, None)], "file_id long, i int, p double")
+    found = {r.file_id: (r.lower, r.upper) for r in segments.middle_values(frame, "file_id", "p", few).collect()}
+    assert found == {k: (sorted(vs)[(len(vs) - 1) // 2], sorted(vs)[len(vs) // 2]) for k, vs in values.items()}
