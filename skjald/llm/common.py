@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,21 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
+def with_free_names(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """stage(docs), where columns of `docs` whose names begin as those used within (with two underscores) have other names meanwhile."""
+    taken = set(docs.columns)
+    held: dict[str, str] = {}
+    for name in docs.columns:
+        if name.startswith("__"):
+            held[name] = f"held{name}"
+            while held[name] in taken:
+                held[name] += "_"
+            taken.add(held[name])
+    if not held:
+        return stage(docs)
+    return stage(docs.withColumnsRenamed(held)).withColumnsRenamed({v: k for k, v in held.items()})
+
+
 def by_size(sizes: list[int], most: int) -> Iterator[slice]:
     """Runs of rows whose sizes sum to `most`, unless one row has more."""
     start = held = 0

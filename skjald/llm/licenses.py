@@ -8,7 +8,9 @@ overlapping detections the most specific stays; one window over a document's mat
 the order of start finds that by running maxima of the ends, tier by tier.
 
 Texts aren't shuffled; matches are, by document. Cases: a null text counts as empty;
-rows with equal id and text are matched once; null ids are joined as values; an empty
+very long texts are scanned whole, in one task each, and their matches are held in one
+row; of matches that agree in place and tier the rule that stands first in the table stays; rows
+with equal id and text are matched once; null ids are joined as values; an empty
 table gives an empty result; other columns are ignored.
 """
 

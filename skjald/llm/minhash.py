@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skjald.llm.common import cut, small, tiled
+from skjald.llm.common import cut, small, tiled, with_free_names
 from skjald.llm.graph import components
 
 SHINGLE = 5
@@ -370,6 +370,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` of which near_duplicates() keeps the document; of rows that repeat with words in them, one."""
+    return with_free_names(docs, lambda docs: _without_duplicates(docs, id_col, text_col))
+
+
+def _without_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = cut(near_duplicates(docs, id_col, text_col))
     key = [F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__digest")]
     keyed = docs.select("*", *key)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skjald.llm.common import cut, text_or_empty
+from skjald.llm.common import cut, text_or_empty, with_free_names
 
 SCOPE = 200
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -126,6 +126,10 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """The rows of `docs` with their secrets redacted and `length_col`, if there is one, renewed."""
+    return with_free_names(docs, lambda docs: _without_secrets(docs, id_col, text_col, length_col))
+
+
+def _without_secrets(docs: DataFrame, id_col: str, text_col: str, length_col: str | None) -> DataFrame:
     found = scan(docs, SCOPE, id_col, text_col).filter(F.size("spans") > 0).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("spans").alias("__spans")).distinct()
     key = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__digest"))
     found = cut(found)

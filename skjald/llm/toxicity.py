@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skjald.llm.common import cut, small
+from skjald.llm.common import cut, small, with_free_names
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -313,6 +313,10 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """The rows of `docs` whose score is below TOXIC.
 
     Texts are scored by themselves, and the digests of those that go are sent back to the rows."""
+    return with_free_names(docs, lambda docs: _without_toxic(docs, labels, id_col, text_col, label_col))
+
+
+def _without_toxic(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
     scored = score_documents(docs.select(F.md5(F.coalesce(text_col, F.lit(""))).alias("__digest"), F.col(text_col).alias("text")), learn(docs, labels, id_col, text_col, label_col))
     gone = cut(scored.filter(F.col("__score") >= TOXIC).select("__digest").distinct())
     rows = docs.withColumn("__digest", F.md5(F.coalesce(text_col, F.lit(""))))

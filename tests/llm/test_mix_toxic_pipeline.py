@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skjald.llm import mixing, queries, toxicity
@@ -220,3 +221,14 @@ def test_large_tables_of_ratios_give_the_same_scores(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SENT_GRAMS", 200)
     many = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
     assert len(many) == 300 and many == pytest.approx(few, abs=1e-9)
+
+
+def test_stages_keep_columns_with_names_of_their_own(spark, documents):
+    """Columns that begin as those used within come through every stage."""
+    names = ["__text", "__model", "__digest", "__id", "__source", "__rank", "__copies", "__spans", "held__text"]
+    docs = documents.select("*", *(F.concat_ws("-", F.lit(n), "doc_id").alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        found = stage(spark, docs, SF)
+        assert found.columns == docs.columns, name
+        rows = found.collect()
+        assert rows and all(r[n] == n + ("" if r.doc_id is None else f"-{r.doc_id}") for r in rows for n in names), name
