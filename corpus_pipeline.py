@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skjald.llm import bpe, minhash, mixing, secrets, toxicity
-from skjald.llm.common import cut, remove, shared_path, table
+from skjald.llm.common import cut, remove, shared_path, table, with_free_names
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,6 +38,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them, which may be never."""
+    return with_free_names(docs, _mixed)
+
+
+def _mixed(docs: DataFrame) -> DataFrame:
     mix = cut(mixing.mix_documents(docs).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies")))
     # Rows that repeat in id, source and size share their copies: the n-th row gets those of rank n.
     key = [F.col("doc_id").eqNullSafe(F.col("__id")), F.col("source").eqNullSafe(F.col("__source")), F.col("__n") == F.col("__size")]
