@@ -241,7 +241,9 @@ def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str |
 
 
 def round_trip_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encodes and decodes every document in one pass; returns counts and digests of both."""
+    """Encodes and decodes every document in one pass; returns counts and digests of both.
+
+    A worker keeps what it remembers for its next tasks, below about 75 MB."""
     path, pattern = _settings(path, pattern)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -256,6 +258,5 @@ def round_trip_documents(docs: DataFrame, path: str | None = None, pattern: str
                 digests.append(hashlib.sha256(" ".join(map(shown.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        codec.forget()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
