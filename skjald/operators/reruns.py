@@ -64,12 +64,17 @@ def pending(files: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return files.join(sized(done.select(key).distinct()), key, "left_anti")
 
 
-def audit(wanted: DataFrame, done: DataFrame, path: str = "file_path", quarantine: DataFrame | None = None) -> DataFrame:
+#: The end of an audited name that may be missing in its key: any four characters, or a file's extension alone.
+ANY_END, EXTENSION = r"(?s).{0,4}\z", r"\.[A-Za-z0-9]{3}\z"
+
+
+def audit(wanted: DataFrame, done: DataFrame, path: str = "file_path", quarantine: DataFrame | None = None, end: str = ANY_END) -> DataFrame:
     """One row: all, processed and not processed, and the lines in `quarantine`, which are none of these. A line counts if it has a folder; its key is the name
-    without .mp3, or without four characters more."""
+    without .mp3, or without `end` as well. Any four characters are right for ids of one length (UUIDs) alone: of
+    numbers, 12345 without them is 1, which may be another file."""
     lines = wanted.filter(F.size(F.split(path, "/")) >= 2).select(paths.basename(F.col(path)).alias("name"))
     key = F.when(F.contains("name", F.lit(".mp3")), F.expr("left(name, greatest(length(name) - 4, 0))")).otherwise(F.col("name"))
-    keys = lines.withColumn("k1", key).withColumn("k2", F.expr("left(k1, greatest(length(k1) - 4, 0))"))
+    keys = lines.withColumn("k1", key).withColumn("k2", F.regexp_replace("k1", end, ""))
     there = sized(done.select(F.col("name").alias("d")).distinct())
     found = keys.join(there.withColumnRenamed("d", "d1"), F.col("k1") == F.col("d1"), "left").join(there.withColumnRenamed("d", "d2"), F.col("k2") == F.col("d2"), "left")
     ready = F.col("d1").isNotNull() | F.col("d2").isNotNull()

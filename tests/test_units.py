@@ -75,6 +75,13 @@ def test_reruns(spark):
     assert tuple(reruns.audit(wanted, done).first()) == (3, 2, 1)
 
 
+def test_audit_of_numbers(spark):
+    """A number that begins another one is another file's."""
+    wanted = spark.createDataFrame([("m/51282.mp3",), ("m/51283.wav",), ("m/7.wav",), ("m/51284",), ("m/5.mp3.wav",), ("m/x.mp3x",)], "file_path string")
+    done = spark.createDataFrame([("5",), ("7",), ("51283",), ("",)], "name string")
+    assert tuple(reruns.audit(wanted, done, end=reruns.EXTENSION).first()) == (6, 3, 3)
+
+
 def machine(p, step=200, back=20, bridge=15, shortest=10_000):
     """Voice segments frame by frame."""
     ordered = sorted(p)
