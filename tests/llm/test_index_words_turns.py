@@ -59,6 +59,15 @@ def test_decontamination_query(spark):
     assert any(r[-1] for r in got)
 
 
+def test_decontamination_query_has_the_columns_of_its_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    assert queries.op11_decontamination(spark, SF).columns == con.sql(queries.ORACLES["op11_decontamination"]).columns
+
+
 def test_proximity_matches(spark):
     rng = np.random.default_rng(7)
     w = [f"w{x}" for x in rng.integers(0, 100_000, 40)]
