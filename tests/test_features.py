@@ -123,6 +123,25 @@ def test_rare_hashes_find_all_confident_matches(spark):
     assert found.count() < 3 * len(asked) < hashes.join(indexed, "hash").count() / 10
 
 
+def test_only_known_hashes_are_gathered(spark):
+    """Hashes that the index lacks count in the totals, within their row; keys of several rows and null ones too."""
+    rng = random.Random(6)
+    rows = [(k // 2 if k < 20 else k, [rng.choice("abcdefg") for _ in range(k)]) for k in range(60)] + [(None, list("abcabc")), (None, list("cab")), (70, None), (71, list("aaaaaa"))]
+    frame = spark.createDataFrame(rows, "id long, t array<string>").repartition(3)
+    query, totals = fingerprints.index(frame, "id", F.col("t")), fingerprints.hash_totals(frame, "id", F.col("t"))
+    wanted = {r for r in map(tuple, fingerprints.asked_hashes(query)[1].collect()) if r[0] is not None}
+    assert {r for r in map(tuple, totals.collect()) if r[0] is not None} == wanted and (71, 1) in wanted
+    once = frame.filter("id >= 20")
+    assert sorted(map(tuple, fingerprints.hash_totals(once, "id", F.col("t")).collect())) == sorted(r for r in wanted if r[0] >= 20)
+    indexed = fingerprints.index(frame.filter("id % 5 = 1"), "id", F.col("t"))
+    for least in (0.0, 0.3):
+        found = fingerprints.match(query, indexed, least, totals)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, fingerprints.match(query, indexed, least).collect())) != []
+    few = fingerprints.index(frame.filter("id = 71"), "id", F.col("t"))  # one hash
+    held = fingerprints.match(query, few, 0.0, fingerprints.hash_totals(once, "id", F.col("t")))
+    assert "LeftSemi" in held._jdf.queryExecution().executedPlan().toString()
+
+
 def test_edit_counts_of_long_sequences():
     rng = random.Random(7)
 
