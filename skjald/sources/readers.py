@@ -7,14 +7,14 @@ import wave
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skjald.functions import paths
 from skjald.functions.resampling import resample
-from skjald.sources.shared import cut
+from skjald.sources.shared import batched, cut
 
 
 def json_lines(spark: SparkSession, at: str | list[str], schema: StructType | str, nested: str | None = None) -> DataFrame:
@@ -107,12 +107,16 @@ def recordings(spark: SparkSession, root: str, decode: Callable[[bytes], tuple[i
 def decoded(files: DataFrame, decode: Callable[[bytes], tuple[int, bytes]]) -> DataFrame:
     """The same of a table of path and content."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for path, content in zip(batch.column(0), batch.column(1), strict=True):
+            rate, samples = decode(content.as_py())
+            yield path.as_py(), rate, len(samples) // 2, samples
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [decode(x) for x in batch["content"]]
-            yield pd.DataFrame({"path": batch["path"], "rate": [r for r, _ in found], "n_samples": [len(s) // 2 for _, s in found], "samples": [s for _, s in found]})
+            yield from batched(rows(batch), pa.schema([("path", pa.string()), ("rate", pa.int32()), ("n_samples", pa.int64()), ("samples", pa.binary())]))
 
-    return files.select("path", "content").mapInPandas(run, "path string, rate int, n_samples long, samples binary")
+    return files.select("path", "content").mapInArrow(run, "path string, rate int, n_samples long, samples binary")
 
 
 def wav(content: bytes) -> tuple[int, bytes]:

@@ -6,11 +6,12 @@ import io
 import wave
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skjald.sources.files import write_files
+from skjald.sources.shared import batched
 
 
 def delimited(rows: DataFrame, to: str, sep: str = ",", header: bool = True) -> None:
@@ -42,20 +43,21 @@ def triples(rows: DataFrame, to: str) -> None:
 def wav_files(segments: DataFrame, rate: int = 16_000) -> DataFrame:
     """path and content (WAV bytes) of segments with path and samples (signed 16-bit)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def wav(samples: bytes) -> bytes:
+        out = io.BytesIO()
+        with wave.open(out, "wb") as file:
+            file.setnchannels(1)
+            file.setsampwidth(2)
+            file.setframerate(rate)
+            file.writeframes(samples)
+        return out.getvalue()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content = []
-            for samples in batch["samples"]:
-                out = io.BytesIO()
-                with wave.open(out, "wb") as file:
-                    file.setnchannels(1)
-                    file.setsampwidth(2)
-                    file.setframerate(rate)
-                    file.writeframes(samples)
-                content.append(out.getvalue())
-            yield pd.DataFrame({"path": batch["path"], "content": content})
-
-    return segments.select("path", "samples").mapInPandas(run, "path string, content binary")
+            rows = ((path.as_py(), wav(samples.as_py())) for path, samples in zip(batch.column(0), batch.column(1), strict=True))
+            yield from batched(rows, pa.schema([("path", pa.string()), ("content", pa.binary())]))
+
+    return segments.select("path", "samples").mapInArrow(run, "path string, content binary")
 
 
 def audio_files(segments: DataFrame, to: str, rate: int = 16_000, overwrite: bool = False) -> None:

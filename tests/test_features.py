@@ -5,13 +5,14 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from skjald.functions import edits, resampling
 from skjald.operators import fingerprints, manifests, reruns, scores, segments, song_index
 from skjald.plans import reference_queries
-from skjald.sources import files, readers, writers
+from skjald.sources import files, readers, shared, writers
 
 
 def names(root):
@@ -221,6 +222,32 @@ def test_resampling(old):
         assert len(found) == -(-n * 16_000 // old) and np.allclose(found, 7)
 
 
+def test_resampling_by_blocks():
+    """As a sum over each new sample's surroundings; of rates with few, many and too many phases."""
+    rng = np.random.default_rng(4)
+    for old, new in ((44_100, 16_000), (48_000, 16_000), (8_000, 16_000), (44_101, 16_000)):
+        table, common = resampling.phases(old, new), np.gcd(old, new)
+        half = table.shape[1] // 2
+        for n in (1, 700, 3_001):
+            x = rng.integers(-32_768, 32_768, n).astype("<i2")
+            places = np.arange(-(-n * new // old)) * (old // common)
+            near = x[np.clip((places // (new // common))[:, None] + np.arange(-half + 1, half + 1), 0, n - 1)].astype(float)
+            assert np.allclose(resampling.resample(x, old, new), (near * table[places % (new // common)]).sum(1), atol=1e-6)
+    assert resampling.block(44_100, 16_000)[0].nbytes < 1_000_000
+
+
+def test_files_are_given_back_in_small_batches(spark, monkeypatch):
+    """What a task holds is bounded by bytes, not by rows."""
+    frame = spark.range(300, numPartitions=1).select(F.col("id").cast("string").alias("path"), F.encode(F.repeat(F.lit("ab"), 50_000), "utf-8").alias("samples"))
+    for found, column in ((writers.wav_files(frame), "content"), (readers.decoded(writers.wav_files(frame, 44_100), readers.wav), "samples")):
+        sizes = found.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long")
+        assert found.count() == 300 and found.agg(F.min(F.length(column))).first()[0] >= 100_000 and sizes.agg(F.sum("n")).first()[0] == 300
+    rows = ((k, b"x" * 1_000) for k in range(10))
+    batches = shared.batched(rows, pa.schema([("k", pa.int64()), ("b", pa.binary())]), 2_500)
+    assert next(batches).num_rows == 3 and next(rows)[0] == 3  # the others aren't made yet
+    assert [b.num_rows for b in batches] == [3, 3]
+
+
 def test_short_parts_are_literal(spark):
     rng = random.Random(9)
     texts = [(k, " ".join(rng.choice(["a.b", "ab", "(x", "x)", "a", "", "é*", "\\Q"]) for _ in range(6))) for k in range(60)] + [(None, "a.b only"), (61, None), (62, "")]
