@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from skjald.functions import paths
 from skjald.functions.resampling import resample
+from skjald.sources.files import contents, walked
 from skjald.sources.shared import batched, cut
 
 
@@ -94,14 +95,15 @@ def lines(spark: SparkSession, at: str) -> DataFrame:
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """path, filename and folder of all files under `root`; contents aren't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path")
+    files = walked(spark, root, pattern)
+    if files is None:  # a store, or a pattern, that is Spark's alone
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return files.select("path", paths.basename(F.col("path")).alias("filename"), paths.parent(F.col("path")).alias("folder"))
 
 
 def recordings(spark: SparkSession, root: str, decode: Callable[[bytes], tuple[int, bytes]], pattern: str = "*.wav") -> DataFrame:
     """path, rate, n_samples and samples (signed 16-bit, mono) of files; `decode` gives rate and samples of one."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return decoded(files, decode)
+    return decoded(contents(spark, root, pattern), decode)
 
 
 def decoded(files: DataFrame, decode: Callable[[bytes], tuple[int, bytes]]) -> DataFrame:

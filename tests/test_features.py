@@ -47,6 +47,28 @@ def test_file_sink(spark, tmp_path):
             files.relative(path)
 
 
+def test_many_files_pass_by_the_driver(spark, tmp_path):
+    """Files are moved, listed and read by tasks; of one path the later task's stays; hidden names and other patterns are left out."""
+    to = str(tmp_path / "out")
+    frame = spark.range(600, numPartitions=6).select(F.concat((F.col("id") % 7).cast("string"), F.lit("/x/"), F.col("id") % 300, F.lit(".wav")).alias("path"), F.encode(F.col("id").cast("string"), "utf-8").alias("content"))
+    files.write_files(frame.withColumn("path", F.regexp_replace("path", "^./", "")), to)
+    assert len(names(to)) == 300 and all(int((tmp_path / "out" / n).read_text()) == int(n.split("/")[1][:-4]) + 300 for n in names(to))
+    files.write_files(frame.filter("id < 300"), to)
+    for name in ("_hidden.wav", ".dot.wav", "x/note.txt", "_temporary/y.wav", "a [1].wav"):
+        (tmp_path / "out" / name).parent.mkdir(exist_ok=True)
+        (tmp_path / "out" / name).write_text("z")
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(to)
+    wanted = sorted((r.path, bytes(r.content)) for r in plain.select("path", "content").collect())
+    assert len(wanted) == 601
+    for root in (to, "file://" + to, to + "/"):
+        found = sorted((r.path, bytes(r.content)) for r in files.contents(spark, root, "*.wav").collect())
+        assert found == wanted and sorted(r.path for r in files.walked(spark, root, "*.wav").collect()) == [p for p, _ in wanted]
+    assert "binaryFile" not in readers.listing(spark, to, "*.wav")._jdf.queryExecution().toString()
+    assert readers.listing(spark, to, "{note,other}.txt").select("filename", "folder").collect() == [("note.txt", "x")]
+    (tmp_path / "none").mkdir()
+    assert readers.listing(spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_failed_task_leaves_no_file(spark, tmp_path):
     to = str(tmp_path / "out")
     frame = spark.range(40, numPartitions=4).select(F.concat(F.lit("f"), "id").alias("path"), F.when(F.col("id") == 39, F.raise_error(F.lit("lost")).cast("binary")).otherwise(F.encode("id", "utf-8")).alias("content"))
