@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skjald.llm.common import cut, small, with_free_names
+from skjald.llm.common import cut, pieces, small, with_free_names
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -54,6 +54,8 @@ CALIBRATION_ROWS = 30_000
 MEMO_WORDS = 50_000
 #: Rows of labels up to which they are broadcast: some 5 MB.
 LABEL_ROWS = 300_000
+#: Texts whose open words one task passes on.
+PIECE_TEXTS = 5_000
 #: Letters, digits and all bytes of other characters stay; A-Z become small.
 PLAIN = bytes((b | 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -103,33 +105,35 @@ def count_grams(labelled: DataFrame) -> DataFrame:
 def log_ratios(grams: DataFrame, models: dict[str, tuple[Column, Column]]) -> DataFrame:
     """gram, n and a column for each of the models, given by its ordinary and toxic counts: for each
     gram the log P(toxic) / P(ordinary) of its last character, and for each context that of a
-    character that isn't seen after it. The backoff, which knows no classes, is one for all models."""
-    names = list(models)
-    seen = grams.select("gram", *(c.alias(f"{m}_{y}") for m, both in models.items() for y, c in enumerate(both)))
+    character that isn't seen after it. The backoff, which knows no classes, is one for all models.
+    `grams` is read more than once: cut its lineage before."""
+    names, n_pieces = list(models), pieces(grams.count())
+    seen = grams.coalesce(n_pieces).select("gram", *(c.alias(f"{m}_{y}") for m, both in models.items() for y, c in enumerate(both)))
     tail = lambda n: F.expr(f"right(gram, {n})")
     head = lambda n: F.expr(f"left(gram, {n})")
     backoff = None
     for n in range(1, ORDER):
         # Continuation counts: the distinct grams, longer by one, that end in these n characters.
-        longer = seen.select(tail(n + 1).alias("long")).distinct()
-        counts = longer.select(F.expr(f"right(long, {n})").alias("gram")).groupBy("gram").agg(F.count("*").alias("k"))
+        longer = seen.select(tail(n + 1).alias("long"))
+        longer = longer.distinct().coalesce(n_pieces) if n + 1 < ORDER else longer  # whole grams are distinct
+        counts = longer.select(F.expr(f"right(long, {n})").alias("gram")).groupBy("gram").agg(F.count("*").alias("k")).coalesce(n_pieces)
         sums = counts.groupBy(head(n - 1).alias("context")).agg(F.sum("k").alias("total"), F.count("*").alias("kinds"))
         level = counts.withColumn("context", head(n - 1)).join(sums, "context")
         if backoff is None:
             lower = F.lit(1.0 / ALPHABET)
         else:
-            level, lower = level.withColumn("next", tail(n - 1)).join(backoff, "next"), F.col("p")
+            level, lower = level.coalesce(n_pieces).withColumn("next", tail(n - 1)).join(backoff, "next"), F.col("p")
         p = F.greatest(F.col("k") - DISCOUNT, F.lit(0.0)) / F.col("total") + DISCOUNT * F.col("kinds") / F.col("total") * lower
-        backoff = level.select(F.col("gram").alias("next"), p.alias("p"))
+        backoff = level.select(F.col("gram").alias("next"), p.alias("p")).coalesce(n_pieces)
     each = [f"{m}_{y}" for m in names for y in (0, 1)]
     total = sum((F.col(c) for c in each), F.lit(0))
     sums = [F.sum(c).alias(f"x_{c}") for c in each] + [F.sum((F.col(c) > 0).cast("long")).alias(f"t_{c}") for c in each]
     contexts = seen.groupBy(head(ORDER - 1).alias("context")).agg(*sums, F.sum(total).alias("n"))
     left_over = lambda c: F.when(F.col(f"x_{c}") > 0, DISCOUNT * F.col(f"t_{c}") / F.col(f"x_{c}")).otherwise(1.0)
-    rows = seen.withColumn("context", head(ORDER - 1)).withColumn("next", tail(ORDER - 1)).join(contexts.drop("n"), "context").join(backoff, "next")
+    rows = seen.withColumn("context", head(ORDER - 1)).withColumn("next", tail(ORDER - 1)).join(contexts.drop("n"), "context").coalesce(n_pieces).join(backoff, "next")
     share = lambda c: F.when(F.col(f"x_{c}") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"x_{c}")).otherwise(0.0) + left_over(c) * F.col("p")
     of_grams = rows.select("gram", total.alias("n"), *(F.log(share(f"{m}_1") / share(f"{m}_0")).alias(m) for m in names))
-    return of_grams.union(contexts.select("context", "n", *(F.log(left_over(f"{m}_1") / left_over(f"{m}_0")) for m in names)))
+    return of_grams.union(contexts.select("context", "n", *(F.log(left_over(f"{m}_1") / left_over(f"{m}_0")) for m in names))).coalesce(n_pieces)
 
 
 class Scorer:
@@ -230,23 +234,25 @@ def _features(docs: DataFrame, ratios: DataFrame, models: list[str], carried: li
     key = ["__key", "__model"]
     sums = keyed.select(*key, "__text").mapInArrow(run_open, "`__key` string, `__model` int, words long, kinds long, total double, excess double, `left` array<struct<word: string, n: long, part: double, grams: array<string>>>")
     sums = cut(sums.dropDuplicates(key))
+    n_pieces = pieces(sums.count(), PIECE_TEXTS)
+    sums = sums.coalesce(n_pieces)
     held = sums.select(*key, F.explode("left").alias("w")).select(*key, "w.*")
-    values = open_values(held.select("__model", "word", "part", "grams").dropDuplicates(["__model", "word"]), ratios, models)
-    more = held.select(*key, "word", "n").join(values, ["__model", "word"]).groupBy(*key).agg(F.sum(F.col("n") * F.col("value")).alias("more"), F.sum(F.least(F.greatest(F.col("value") - STRONG, F.lit(0.0)), F.lit(MOST))).alias("above"))
+    values = open_values(held.select("__model", "word", "part", "grams").dropDuplicates(["__model", "word"]), ratios, models, n_pieces)
+    more = held.select(*key, "word", "n").join(values, ["__model", "word"]).coalesce(n_pieces).groupBy(*key).agg(F.sum(F.col("n") * F.col("value")).alias("more"), F.sum(F.least(F.greatest(F.col("value") - STRONG, F.lit(0.0)), F.lit(MOST))).alias("above"))
     or_none = lambda c: F.coalesce(c, F.lit(0.0))
     x1 = F.when(F.col("words") > 0, (F.col("total") + or_none("more")) / F.col("words")).otherwise(0.0)
     found = sums.join(more, key, "left").select(*key, x1.alias("__x1"), F.log1p(F.col("excess") + or_none("above")).alias("__x2"), F.log1p("kinds").alias("__x3"))
     return keyed.drop("__text").join(found, key).select(*carried, "__x1", "__x2", "__x3")
 
 
-def open_values(words: DataFrame, ratios: DataFrame, models: list[str]) -> DataFrame:
+def open_values(words: DataFrame, ratios: DataFrame, models: list[str], n_pieces: int) -> DataFrame:
     """__model, word and value of distinct words (__model, word, part, grams), from the whole table of ratios by shuffles."""
-    grams = words.select("__model", "word", F.explode("grams").alias("gram"))
+    grams = words.coalesce(n_pieces).select("__model", "word", F.explode("grams").alias("gram"))
     known = grams.select("gram").distinct().withColumn("context", F.expr(f"left(gram, {ORDER - 1})"))
     by_model = F.array(*models)
-    known = known.join(ratios.select("gram", by_model.alias("own")), "gram", "left").join(ratios.select(F.col("gram").alias("context"), by_model.alias("other")), "context", "left")
-    known = known.select("gram", F.coalesce("own", "other").alias("by_model"))
-    rest = grams.join(known, "gram").groupBy("__model", "word").agg(F.sum(F.coalesce(F.get("by_model", F.col("__model")), F.lit(0.0))).alias("rest"))
+    known = known.join(ratios.select("gram", by_model.alias("own")), "gram", "left").coalesce(n_pieces).join(ratios.select(F.col("gram").alias("context"), by_model.alias("other")), "context", "left")
+    known = known.select("gram", F.coalesce("own", "other").alias("by_model")).coalesce(n_pieces)
+    rest = grams.join(known, "gram").coalesce(n_pieces).groupBy("__model", "word").agg(F.sum(F.coalesce(F.get("by_model", F.col("__model")), F.lit(0.0))).alias("rest"))
     return words.select("__model", "word", "part").join(rest, ["__model", "word"]).select("__model", "word", (F.col("part") + F.col("rest")).alias("value"))
 
 

@@ -163,6 +163,21 @@ def test_toxicity_held_out(spark, labelled):
     assert {r.doc_id: round(r.score, 9) for r in again.collect()} == {r.doc_id: round(r.score, 9) for r in rows}
 
 
+def test_few_rows_are_passed_on_by_few_tasks(spark, labelled):
+    docs, labels = labelled
+    want = {r.doc_id: round(r.score, 9) for r in toxicity.toxicity(docs, labels).collect()}
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(held, ("50", "false"), strict=True):
+            spark.conf.set(k, v)
+        ratios, _ = toxicity.learn(docs, labels)
+        assert ratios.rdd.getNumPartitions() <= 2  # one was made of each partition of the grams, and of the contexts
+        assert {r.doc_id: round(r.score, 9) for r in toxicity.toxicity(docs, labels).collect()} == want
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 def test_toxicity_edges(spark, documents, empty, labelled):
     docs, labels = labelled
     model = toxicity.learn(docs, labels.union(labels).union(spark.createDataFrame([(None, 1), (5, None)], "doc_id long, toxic int")))
